@@ -65,7 +65,7 @@ u0 as (select customer_id, eff_st_dt, case when ds_record_is_deleted = 1 then nu
 u1 as (select * from u0 window w as (partition by customer_id order by eff_st_dt) qualify row_number() over w = 1 or lag(a) over w is distinct from a),
 u as (select *, lead(eff_st_dt) over (partition by customer_id order by eff_st_dt) nx from u1)
 select 'read_dfs' tbl, src_stm_id, customer_id, strftime(min(ppn_dt), '%Y-%m-%d') valid_from,
-  coalesce(strftime(arg_max(nx, i), '%Y-%m-%d'), '3000-11-08') valid_to
+  coalesce(strftime(arg_max_null(nx, i), '%Y-%m-%d'), '3000-11-08') valid_to
 from (select customer_id, src_stm_id, g, i, ppn_dt, nx from f) group by customer_id, src_stm_id, g
 union all
 select 'cob_hist_feed', '', customer_id, strftime(eff_st_dt, '%Y-%m-%d %H:%M:%S'), coalesce(strftime(nx, '%Y-%m-%d %H:%M:%S'), '3000-11-08 00:00:00')
