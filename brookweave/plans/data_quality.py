@@ -30,7 +30,8 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 def p1_profile(spark: SparkSession, sf: str) -> DataFrame:
     return job_profile(spark, sf).select(
         "ds_time_id", "ds_source", "col_name", "n_rows", "n_missing", "n_invalid",
-        F.col("n_distinct"), F.col("least").cast("string").alias("least"), F.col("greatest").cast("string").alias("greatest"),
+        F.coalesce("n_distinct", F.lit(-1)).alias("n_distinct"),
+        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("least", "greatest")],
     )
 
 
@@ -117,7 +118,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p4_state(spark: SparkSession, sf: str) -> DataFrame:
     """The values of the records, one row per field."""
-    return repayment_state(spark, sf).drop("change_id")
+    return repayment_state(spark, sf).drop("change_id").withColumn("value", F.coalesce("value", F.lit("")))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

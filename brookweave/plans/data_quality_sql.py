@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-_BLANK = "regexp_full_match({0}, '[\\s]*')"
 _S = lambda c: f"nullif(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'), '')"
 
 _P1 = """
@@ -45,8 +44,8 @@ union all
 select ds_time_id, ds_source, 'cls_bal_lcy', 'shift' from p where med > 5 * peer or med * 5 < peer""",
     "p1_profile": _P1
     + """
-select b.*, case when col_name = 'cls_bal_lcy' then n_distinct end n_distinct,
-  case when col_name = 'cls_bal_lcy' then lo end least, case when col_name = 'cls_bal_lcy' then hi end greatest
+select b.*, case when col_name = 'cls_bal_lcy' then n_distinct else -1 end n_distinct,
+  case when col_name = 'cls_bal_lcy' then lo else '' end least, case when col_name = 'cls_bal_lcy' then hi else '' end greatest
 from (select ds_time_id, ds_source, col_name, n_rows::bigint n_rows, n_missing::bigint n_missing, n_invalid::bigint n_invalid from b) b
 join (select ds_time_id, ds_source, count(distinct cls_bal_lcy) n_distinct, min(cls_bal_lcy)::varchar lo, max(cls_bal_lcy)::varchar hi
       from ds1_job group by all) using (ds_time_id, ds_source)""",
@@ -128,7 +127,7 @@ l as (select * from f join k using (ld_id, pos, sub_pos) where live
     qualify row_number() over (partition by ld_id, pos, sub_pos, field_name order by commit_ts desc, ds_cdc_index desc) = 1)
 select ld_id, pos::varchar || '.' || sub_pos::varchar rec_position, field_name, """
 SQL["p4_found"] = _P4 + "change_id from l"
-SQL["p4_state"] = _P4 + "val as value from l"
+SQL["p4_state"] = _P4 + "coalesce(val, '') as value from l"
 
 _LISTS = """
   select 'ds1_job' parent_table, ds_row_id parent_id, 'info_detail.' || e.key elem_path, p::int elem_pos, e.value elem_text
