@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brookweave.llm.text import words
+from brookweave.llm.text import readings, words
 from brookweave.session import spread
 
 
@@ -119,7 +119,8 @@ def leaked_spans(
     """Spans of test items in the corpus: ``doc_id, item_id, start_word, end_word`` (word places, end exclusive).
 
     A span is a maximal stretch of a document covered by occurrences of an item's phrases. Items of fewer than ``span``
-    words, null and empty texts on either side give nothing; repeated documents each give their own spans. Items are
+    words, null and empty texts on either side give nothing; repeated documents each give their own spans. A document
+    with words broken at line ends is indexed in both readings, so it may give a span twice at shifted places. Items are
     searched in blocks of ``item_block``, every block against the whole corpus, so the phrases a task holds are bounded
     whatever the number of items. A shard is up to ``shard`` codes of one partition; longer documents are cut into
     pieces that overlap by ``span - 1`` words. Nothing of the corpus is shuffled but an even spread of a coarse scan.
@@ -183,14 +184,15 @@ def _searcher(vocabulary: dict[str, int], phrases: np.ndarray, owners: list[list
         size = 0
         for pdf in batches:
             for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                seq = [vocabulary.get(w, 0) for w in words(text)]
-                for start in range(0, max(1, len(seq) - span + 1), shard):
-                    piece = seq[start : start + shard + span - 1]
-                    pieces.append((doc, start, piece))
-                    size += len(piece) + 1
-                    if size >= shard:
-                        yield flush(pieces)
-                        pieces, size = [], 0
+                for reading in readings(text, vocabulary):
+                    seq = [vocabulary.get(w, 0) for w in reading]
+                    for start in range(0, max(1, len(seq) - span + 1), shard):
+                        piece = seq[start : start + shard + span - 1]
+                        pieces.append((doc, start, piece))
+                        size += len(piece) + 1
+                        if size >= shard:
+                            yield flush(pieces)
+                            pieces, size = [], 0
         if pieces and len(phrases):
             yield flush(pieces)
 

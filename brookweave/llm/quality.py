@@ -41,6 +41,7 @@ DELIMITER = re.compile(r"[|\t;,]")
 NOTHING = re.compile(r"\bn/a\b", re.I)
 SLASHED = re.compile(r"\S[ ]?[;/][ ]\S|\S;\S|;;")
 GAP = re.compile(r"(?<=\S)(?:\s{3,}|\t+)(?=\S)|\|")
+QUOTE_BAR = re.compile(r"^\s*\|\s+(?=[^|]*$)")
 TABLE_TAG = re.compile(r"</?(?:table|tr|td|th|thead|tbody)\b", re.I)
 LOG = re.compile(r"^\s*\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d\S*\s+\[?[A-Z]{3,8}\]?")
 HEX_PAIRS = re.compile(r"(?:\b[0-9a-fA-F]{2}\b\s*){12,}")
@@ -64,12 +65,12 @@ def units(text: str, common: frozenset[str]) -> list[str]:
         if not line.strip():
             open_line = False
             continue
-        shown = visible(line, tags=False)
+        shown = QUOTE_BAR.sub("", visible(line, tags=False))
         marked = MARKER.match(shown) or TABLE_TAG.search(line) or QUOTED_CELLS.search(shown)
         if not marked and GAP.search(shown.strip()):
             marked = "|" in shown or common_words_share(WORD.findall(fold(NOTHING.sub(" ", shown))), common) < 0.15
         if open_line and not marked:
-            out[-1] += " " + line
+            out[-1] += " " + QUOTE_BAR.sub("", line)
         else:
             out.append(line)
         n = len(shown.split())
@@ -81,7 +82,7 @@ def units(text: str, common: frozenset[str]) -> list[str]:
 def unit_stats(unit: str, common: frozenset[str]) -> tuple[int, list[float], str]:
     """Visible characters, statistics and the class by rule of one unit."""
     raw_size = sum(map(len, unit.split()))
-    shown = visible(unit)
+    shown = QUOTE_BAR.sub("", visible(unit))
     if not shown.strip():
         return raw_size, [0.0] * len(FEATURES), "table" if TABLE_TAG.search(unit) else "junk"
     body = MARKER.sub("", shown, count=1)

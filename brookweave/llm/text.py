@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections.abc import Container
 
 #: Characters that show nothing: soft hyphen, zero-width marks, joiners, direction marks, variation selectors.
 INVISIBLE = re.compile("[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\ufe00-\ufe0f\ufeff]")
@@ -12,7 +13,12 @@ INVISIBLE = re.compile("[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180e
 BLOCK_TAG = re.compile(r"</?(?:p|br|div|li|ul|ol|tr|td|th|table|thead|tbody|h[1-6]|hr|blockquote|pre|section|article)\b[^<>]{0,200}>", re.I)
 INLINE_TAG = re.compile(r"</?[a-zA-Z][a-zA-Z0-9]{0,15}(?:\s[^<>]{0,200})?/?>|<!--.{0,2000}?-->", re.S)
 COMBINING = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
+#: A word broken at the end of a line, before the sign that starts the next line of a quotation or comment.
+BROKEN_WORD = re.compile(r"(?<=[^\W_])[-\u2010\u00ad][^\S\n]*(?:\r\n|[\n\r\x85\u2028])[^\S\n]*(?:(?:[|>#*]|//)+[^\S\n]*)*(?=[^\W_])")
+SOFT_BREAK = re.compile(r"\u00ad[^\S\n]*(?:\r\n|[\n\r])[^\S\n]*")
+JOIN = "\x00"
 WORD = re.compile(r"[^\W_]+")
+JOINED = re.compile(r"[^\W_]+(?:\x00[^\W_]+)*")
 
 
 def visible(text: str, tags: bool = True) -> str:
@@ -24,7 +30,7 @@ def visible(text: str, tags: bool = True) -> str:
     if tags and "<" in text:
         text = INLINE_TAG.sub("", BLOCK_TAG.sub("\n", text))
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", INVISIBLE.sub("", text))
+        text = unicodedata.normalize("NFKC", INVISIBLE.sub("", SOFT_BREAK.sub("", text)))
     return text
 
 
@@ -39,3 +45,20 @@ def fold(text: str) -> str:
 def words(text: str) -> list[str]:
     """Folded runs of letters and digits of a raw text."""
     return WORD.findall(fold(visible(text)))
+
+
+def readings(text: str, known: Container[str]) -> list[list[str]]:
+    """The words of a raw text: one list, or two where words are broken at line ends. A hyphen there may belong to the
+    word or to the layout: in the first reading the halves are one word where ``known`` holds it, in the second the
+    hyphen separates."""
+    shown = fold(visible(text))
+    marked = BROKEN_WORD.sub(JOIN, shown.replace(JOIN, " ")) if "\n" in shown or "\r" in shown else shown
+    if JOIN not in marked:
+        return [WORD.findall(shown)]
+    joined = []
+    for run in JOINED.findall(marked):
+        halves = run.split(JOIN)
+        whole = "".join(halves)
+        joined += [whole] if whole in known else halves
+    apart = WORD.findall(marked.replace(JOIN, " "))
+    return [joined] if joined == apart else [joined, apart]
