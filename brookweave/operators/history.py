@@ -18,7 +18,7 @@ def update_history(
     load_time: str,
     attributes: Mapping[str, Column],
     deleted: Column,
-    bucket: str = "month",
+    bucket: str = "day",
 ) -> DataFrame:
     """Gaps and islands over updates: ``_key, valid_from, valid_to`` (null while open) and ``attributes``.
 

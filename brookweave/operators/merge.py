@@ -83,7 +83,7 @@ def scd2_merge(
         delivered = snapshot.select(*sources).distinct()
         kept = current.join(delivered, list(sources), "left_anti").select(*columns)
         current = current.join(delivered, list(sources), "left_semi").select(*columns)
-    had = current.limit(1).select(F.lit(True).alias("_had"))
+    had = F.lit(not current.isEmpty())
     source = unique_keys(snapshot, keys).withColumn("_in", F.lit(True))
     both = current.withColumn("_cur", F.lit(True)).alias("t").join(source.alias("s"), _on(keys, "t", "s"), "full_outer")
     there, came = F.col("t._cur").isNotNull(), F.col("s._in").isNotNull()
@@ -108,11 +108,11 @@ def scd2_merge(
     rows = rows.select(F.posexplode("_rows").alias("_i", "_r"), "_was")
     fresh = (F.col("_i") == 1) | ~F.col("_was")
     # with versions in force the day replaces the snapshot's own dates (a null start stays null)
-    rows = rows.join(had, F.lit(True), "left").select(
+    rows = rows.select(
         *[F.col(f"_r.`{c}`").alias(c) for c in data],
-        F.when(fresh & F.col("_had").isNotNull() & F.col("_r.eff_dt").isNotNull(), day).otherwise(F.col("_r.eff_dt")).alias("eff_dt"),
+        F.when(fresh & had & F.col("_r.eff_dt").isNotNull(), day).otherwise(F.col("_r.eff_dt")).alias("eff_dt"),
         "_r.end_dt", "_r.rec_st",
-        F.when(fresh & F.col("_had").isNotNull(), day).otherwise(F.col("_r.ppn_dt")).alias("ppn_dt"),
+        F.when(fresh & had, day).otherwise(F.col("_r.ppn_dt")).alias("ppn_dt"),
     )
     out = rows.select(*columns).unionByName(settled.select(*columns))
     return out.unionByName(kept) if kept is not None else out

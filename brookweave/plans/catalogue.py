@@ -824,14 +824,14 @@ def _(s, d):
 _PART = "select p_partkey from part where "
 
 
-@query("regex_filter", _PART + "regexp_matches(p_type, 'STEEL|COPPER')")
+@query("regex_filter", _PART + "regexp_matches(p_name, 'ring|gear')")
 def _(s, d):
-    return V.filter_with_regex_pattern(table(s, d, "part"), "p_type", "STEEL|COPPER").select("p_partkey")
+    return V.filter_with_regex_pattern(table(s, d, "part"), "p_name", "ring|gear").select("p_partkey")
 
 
-@query("regex_filter_inverse", _PART + "not regexp_matches(p_type, 'STEEL|COPPER')")
+@query("regex_filter_inverse", _PART + "not regexp_matches(p_name, 'ring|gear')")
 def _(s, d):
-    return V.filter_with_regex_pattern(table(s, d, "part"), "p_type", "STEEL|COPPER", inverse=True).select("p_partkey")
+    return V.filter_with_regex_pattern(table(s, d, "part"), "p_name", "ring|gear", inverse=True).select("p_partkey")
 
 
 @query("not_null_keys", "select ds_row_id from ds1_job where customer_id is not null and arr_id is not null")
