@@ -22,6 +22,7 @@ from brookweave.operators import validations as V
 from brookweave.registry import run_pipeline
 from brookweave.session import scratch, table
 from brookweave.sources import readers, sinks
+from brookweave.sources.tables import VersionedTable
 from brookweave.streaming import microbatch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,6 +167,25 @@ def _(s, d):
     return texts(M.scd2_merge(once, scd2_snapshot(s, d), ["c_custkey", "src"], DAY))
 
 
+@query("table_versions", _S2_SQL)
+def _(s, d):
+    t = VersionedTable(s, scratch(s, "table"))
+    t.merge(scd2_target(s, d), "scd2")
+    t.merge(scd2_snapshot(s, d), "scd2", keys=["c_custkey", "src"], date=DAY)
+    t.merge(scd2_snapshot(s, d), "scd2", keys=["c_custkey", "src"], date=DAY)
+    return texts(t.read())
+
+
+@query("fact_periodic", """select o_orderkey, year(o_orderdate)::int as y, case when year(o_orderdate) = 1997 then 'new' else 'old' end as tag
+  from orders where year(o_orderdate) <> 1997 or o_orderkey % 3 = 0""")
+def _(s, d):
+    rows = table(s, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"))
+    t = VersionedTable(s, scratch(s, "table"))
+    t.merge(rows.withColumn("tag", F.lit("old")), "fact_periodic")
+    t.merge(rows.where("y = 1997 and o_orderkey % 3 = 0").withColumn("tag", F.lit("new")), "fact_periodic", partition="y")
+    return t.read()
+
+
 @query("scd2_merge_src_scoped", f"""{_S2}
 select {_S2_OUT}, '2022-01-01' as eff_dt, case when src = 'CUS' and (gone or changed) then '{DAY}' else '{OPEN}' end as end_dt,
   case when src = 'CUS' and (gone or changed) then 0 else 1 end as rec_st, case when src = 'CUS' and (gone or changed) then '{DAY}' else '2022-01-01' end as ppn_dt from j

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from brookweave.registry import run_pipeline
 from brookweave.sources import readers, sinks
+from brookweave.sources import tables as tables_
 
 
 @dataclass(frozen=True)
@@ -62,5 +63,8 @@ def run(spark: SparkSession, job: Job, tables: Mapping[str, DataFrame] | None =
         context = {"tables": {**frames, **(tables or {})}, "cob_date": job.cob_date, **job.params}
         out[o.name] = run_pipeline(df, o.transformations, o.validations, {k: v for k, v in context.items() if v is not None})
         if write and o.target:
-            sinks.write_files(out[o.name], **o.target)
+            if "kind" in o.target:
+                tables_.merge_output(spark, out[o.name], o.target)
+            else:
+                sinks.write_files(out[o.name], **o.target)
     return out

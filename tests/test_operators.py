@@ -12,7 +12,7 @@ from brookweave.functions import dates
 from brookweave.functions.ids import uuid5
 from brookweave.operators import casting, dedupe, joins, jobs, masking, merge, projections, reshaping, textual, validations
 from brookweave.plans import catalogue, pipeline
-from brookweave.sources import readers, sinks
+from brookweave.sources import readers, sinks, tables
 from brookweave.streaming import microbatch
 
 
@@ -273,3 +273,21 @@ def test_job_conditions(spark):
     wt = spark.createDataFrame([("x", "g", "S.a"), ("x", "g", None), ("y", "g", "S.a")], "job_name string, job_grp string, job_dependency string")
     lg = spark.createDataFrame([(1, "S", "a", dt.date(2024, 1, 1))], "status int, system_type string, job_name string, cob_dt date")
     assert one(jobs.available_jobs(wt, lg, "g", "2024-01-01")) == [("y",)]
+
+
+def test_versioned_table(spark, tmp_path):
+    t = tables.VersionedTable(spark, str(tmp_path / "t"))
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    with pytest.raises(ValueError):
+        t.read()
+    assert t.merge(df, "replace") == 1
+    assert t.merge(df.where("k = 1").withColumn("v", F.lit("z")), "replace", keys=["k"]) == 2
+    spark.range(3).write.parquet(str(tmp_path / "t" / "v=3"))
+    (tmp_path / "t" / "v=3" / "_SUCCESS").unlink()  # a version that was never completed
+    assert sorted(one(t.read())) == [(1, "z"), (2, "b")] and sorted(one(t.read(1))) == [(1, "a"), (2, "b")]
+    assert t.merge(df, "replace", keys=["k"]) == 3 and t.versions() == [1, 2, 3]
+    t.vacuum()
+    assert t.versions() == [3]
+    with pytest.raises(ValueError):
+        t.merge(df, "nope")
+    assert tables.data_columns(df.withColumn("ds_cdc_index", F.lit(1)), "scd2") == ["k", "v"]
