@@ -49,7 +49,7 @@ def rank_map(path: str) -> Column:
 
 
 def rank_of(ranks: Column, piece: Column) -> Column:
-    slot = F.pmod(F.crc32(F.encode(piece, "UTF-8")), F.lit(SLOTS)).cast("int")
+    slot = F.pmod(F.crc32(piece.cast("binary")), F.lit(SLOTS)).cast("int")
     return F.element_at(F.get(ranks, slot), piece)
 
 
@@ -59,7 +59,11 @@ def as_bytes(word: Column) -> Column:
 
 
 def merge_word(ranks: Column, word: Column) -> Column:
-    """Ids of one word (bytes as Latin-1 characters) by ranked merges."""
+    """Ids of one word (bytes as Latin-1 characters) by ranked merges. The literal is bound once for all its uses."""
+    return _merge(ranks, word)
+
+
+def _merge(ranks: Column, word: Column) -> Column:
     marked = F.concat(F.lit(OPEN), F.array_join(F.split(word, ""), CLOSE + OPEN), F.lit(CLOSE))
     inner = lambda s: F.split(F.substring(s, F.lit(2), F.length(s) - 2), CLOSE + OPEN)
 
@@ -89,51 +93,60 @@ def merge_word(ranks: Column, word: Column) -> Column:
     return F.transform(inner(last["s"]), lambda p: rank_of(ranks, p))
 
 
+#: Most words whose ids every task holds, and the length of the longest of them: at most a few megabytes.
+HOT_WORDS, HOT_LENGTH = 20_000, 48
+GAP = "|"
+
+
+def hot_map(words: list[tuple[str, str]]) -> Column:
+    """A literal like the ranks', from words to the text of their ids."""
+    slots: list[dict[str, str]] = [{} for _ in range(SLOTS)]
+    for word, ids in words:
+        slots[zlib.crc32(word.encode()) % SLOTS][word] = ids
+    return F.from_json(F.lit(json.dumps(slots, ensure_ascii=False, separators=(",", ":"))), "array<map<string,string>>")
+
+
 def encode_corpus(df: DataFrame, doc_id: str, text: str, vocabulary: str) -> DataFrame:
     """``doc_id, ids`` of every row: an empty list for null and empty texts. Rows map one to one, ids may repeat.
 
-    Shuffles: the words that are no piece, once by word to meet their encoding and once by document. Words that are
-    pieces - nearly all frequent ones - stay in their document's row, so no hot word crosses the network. The
-    dictionary grows with the corpus and is joined by hash, broadcast only where the planner measures it as small.
+    Every text is cut once. Words that are pieces get their id in place; the others are counted (combined before the
+    shuffle) and each distinct one is encoded once. The ``HOT_WORDS`` most frequent encodings are given to every task as
+    a second literal and applied in place, so no hot word crosses the network. The rest meets its encoding by a hash
+    join on the word and fills the gaps of its document, whose known ids travel as one text.
     """
     ranks = rank_map(vocabulary)
     docs = spread(df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_t")))
-    cut = docs.withColumn("_row", F.monotonically_increasing_id()).select(
-        "doc_id", "_row", F.transform(F.regexp_extract_all("_t", F.lit(WORD_PATTERN), F.lit(0)), as_bytes).alias("_words")
-    )
-    slots = F.transform(
-        "_words", lambda w, i: F.named_struct(F.lit("pos"), i, F.lit("word"), w, F.lit("id"), rank_of(ranks, w))
-    )
-    cut = cut.select("doc_id", "_row", slots.alias("_slots"))
-    known = F.transform(
-        F.filter("_slots", lambda s: s["id"].isNotNull()),
-        lambda s: F.named_struct(F.lit("pos"), s["pos"], F.lit("ids"), F.array(s["id"])),
-    )
-    # per row: one entry with all known words, then one entry per word to be merged
-    entries = F.concat(
-        F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("word"), F.lit(None).cast("int").alias("id"))),
-        F.filter("_slots", lambda s: s["id"].isNull()),
-    )
-    pieces = persist_table(
-        cut.select("doc_id", "_row", known.alias("_known"), F.posexplode(entries).alias("_i", "_e")).select(
-            F.when(F.col("_i") == 0, F.col("doc_id")).alias("doc_id"), "_row",
-            F.when(F.col("_i") == 0, F.col("_known")).alias("_known"), F.col("_e.pos").alias("pos"), F.col("_e.word").alias("word"),
-        ),
-        "pieces",
-    )
-    dictionary = (
-        pieces.where("word is not null").select(F.col("word").alias("_w")).distinct()
-        .withColumn("_ids", merge_word(ranks, F.col("_w")))
+    words = F.transform(F.regexp_extract_all("_t", F.lit(WORD_PATTERN), F.lit(0)), as_bytes)
+    # the text of an id, or a marked word
+    first = F.transform(words, lambda w: F.coalesce(rank_of(ranks, w).cast("string"), F.concat(F.lit(OPEN), w)))
+    is_open = lambda w: F.startswith(w, F.lit(OPEN))
+    cut = persist_table(docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), first.alias("_words")), "cut")
+    counted = cut.select(F.explode(F.filter("_words", is_open)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # merging is work per word, not per byte: adaptive execution would join these small partitions into one
+    counted = counted.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+    ids = F.array_join(merge_word(ranks, F.substring("word", F.lit(2), F.length("word") - 1)), " ")
+    dictionary = persist_table(counted.withColumn("ids", ids), "dictionary")
+    top = dictionary.where(F.length("word") <= HOT_LENGTH).orderBy(F.desc("n"), "word").limit(HOT_WORDS)
+    hot = hot_map([(r.word, r.ids) for r in top.select("word", "ids").collect()])
+    second = F.transform("_words", lambda w: F.when(is_open(w), F.coalesce(rank_of(hot, w), w)).otherwise(w))
+    # written before it is split: a filter on it must not evaluate the lookups again
+    rows = persist_table(cut.select("doc_id", "_row", second.alias("_words")), "rows")
+    rows = rows.withColumn("_rare", F.filter("_words", is_open))
+    number = lambda t: F.when(t == "", F.array().cast("array<int>")).otherwise(F.split(t, " ").cast("array<int>"))
+    done = rows.where(F.size("_rare") == 0).select("doc_id", number(F.array_join("_words", " ")).alias("ids"))
+    rest = rows.where(F.size("_rare") > 0)
+    gaps = F.array_join(F.transform("_words", lambda w: F.when(is_open(w), F.lit(GAP)).otherwise(w)), " ")
+    heads = rest.select("_row", "doc_id", gaps.alias("_known"), F.lit(None).cast("struct<k:int,ids:string>").alias("_fill"))
+    asked = rest.select("_row", F.posexplode("_rare").alias("_k", "_w"))
+    answers = asked.join(dictionary.select("word", "ids"), F.col("_w") == F.col("word")).select(
+        "_row", F.lit(None).cast(dict(cut.dtypes)["doc_id"]).alias("doc_id"), F.lit(None).cast("string").alias("_known"),
+        F.named_struct(F.lit("k"), F.col("_k"), F.lit("ids"), F.col("ids")).alias("_fill"),
     )
-    merged = (
-        pieces.where("word is not null")
-        .join(dictionary, F.col("word") == F.col("_w"))
-        .select(F.lit(None).cast(dict(pieces.dtypes)["doc_id"]).alias("doc_id"), "_row", F.array(F.named_struct(F.lit("pos"), F.col("pos"), F.lit("ids"), F.col("_ids"))).alias("_parts"))
+    grouped = heads.unionByName(answers).groupBy("_row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("_known").alias("_known"), F.array_sort(F.collect_list("_fill")).alias("_fills")
     )
-    heads = pieces.where("pos = -1").select("doc_id", "_row", F.col("_known").alias("_parts"))
-    grouped = heads.unionByName(merged).groupBy("_row").agg(F.max("doc_id").alias("doc_id"), F.collect_list("_parts").alias("_parts"))
-    ordered = F.array_sort(F.flatten("_parts"))
-    return grouped.select("doc_id", F.flatten(F.transform(ordered, lambda p: p["ids"])).alias("ids"))
+    filled = F.zip_with(F.split("_known", r"\|"), "_fills", lambda t, f: F.concat(t, F.coalesce(f["ids"], F.lit(""))))
+    return done.unionByName(grouped.select("doc_id", number(F.array_join(filled, "")).alias("ids")))
 
 
 def decode_ids(df: DataFrame, ids: str, vocabulary: str) -> DataFrame:
