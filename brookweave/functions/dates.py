@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -16,9 +17,28 @@ DATE_FORMATS = (
 OPEN_DATE, OPEN_EPOCH = "3000-11-08", 32530525200
 
 
+def shape(fmt: str) -> str | None:
+    """Pattern of the texts that a numeric format can read; None for formats with names, zones or fractions."""
+    out = ""
+    for m in re.finditer(r"([A-Za-z])\1*|'[^']*'|.", fmt):
+        part = m.group(0)
+        if part[0] in "yMdHms" and len(part) in (1, 2, 4):
+            out += r"\d{1,2}" if len(part) == 1 else rf"\d{{{len(part)}}}"
+        elif part[0].isalpha() or part[0] == "'":
+            return None
+        else:
+            out += re.escape(part)
+    return rf"^{out}\z"
+
+
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """The first format that reads the text."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("date") for f in formats])
+    """The first format that reads the text. A format is tried only on texts of its shape: a failed attempt costs an
+    exception, a pattern does not."""
+    tried = []
+    for f in formats:
+        read = F.try_to_timestamp(c, F.lit(f)).cast("date")
+        tried.append(F.when(c.rlike(shape(f)), read) if shape(f) else read)
+    return F.coalesce(*tried)
 
 
 def parse_time(c: Column, formats: Sequence[str | None]) -> Column:

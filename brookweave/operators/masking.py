@@ -30,8 +30,11 @@ RUN = re.compile(r"[0-9]+|[a-z]+|[A-Z]+")
 
 
 def _prf(key: bytes, tweak: str, modulus: int) -> int:
-    digest = hmac.new(key, tweak.encode(), hashlib.sha512).digest()
-    return int.from_bytes(digest, "big") % modulus
+    need = (modulus.bit_length() + 71) // 8  # eight bytes more than the modulus keep the bias negligible
+    out = hmac.digest(key, tweak.encode(), "sha256")
+    while len(out) < need:
+        out += hmac.digest(key, out[-32:] + tweak.encode(), "sha256")
+    return int.from_bytes(out[:need], "big") % modulus
 
 
 @lru_cache(maxsize=4096)
@@ -46,8 +49,11 @@ def permute(key: bytes, values: Sequence[int], radix: int, back: bool = False) -
         table = _shuffle(key, f"digit{radix}", radix)
         return [table.index(values[0]) if back else table[values[0]]]
     u = n // 2
-    number = lambda d: int("".join(map(str, d))) if radix == 10 else sum(x * radix ** (len(d) - 1 - i) for i, x in enumerate(d))
-    a, b = number(values[:u]), number(values[u:])
+    a = b = 0
+    for x in values[:u]:
+        a = a * radix + x
+    for x in values[u:]:
+        b = b * radix + x
     sizes = (radix**u, radix ** (n - u))
     for r in reversed(range(ROUNDS)) if back else range(ROUNDS):
         tag = f"{radix}:{n}:{r}:"

@@ -87,8 +87,7 @@ def create_uuid(df: DataFrame, column_name: str, source_column: str) -> DataFram
 def decode_base64_payload(df: DataFrame, column_patterns: str) -> DataFrame:
     """The named column decoded; text that is no base64 becomes null."""
     name = column_patterns if isinstance(column_patterns, str) else column_patterns[0]
-    good = col(name).rlike(r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$")
-    return df.withColumn(name, F.when(good, F.unbase64(F.when(good, col(name)))).cast("string"))
+    return df.withColumn(name, F.try_to_binary(col(name), F.lit("base64")).cast("string"))
 
 
 @operator()
