@@ -59,7 +59,7 @@ def units(text: str, common: frozenset[str]) -> list[str]:
     """Lines without blank ones; a line that was wrapped is joined with the next one."""
     if "<" in text and not TABLE_TAG.search(text):
         text = BLOCK_TAG.sub("\n", text)
-    out: list[str] = []
+    out: list[list[str]] = []
     open_line = False
     for line in LINE.split(text):
         if not line.strip():
@@ -70,13 +70,13 @@ def units(text: str, common: frozenset[str]) -> list[str]:
         if not marked and GAP.search(shown.strip()):
             marked = "|" in shown or common_words_share(WORD.findall(fold(NOTHING.sub(" ", shown))), common) < 0.15
         if open_line and not marked:
-            out[-1] += " " + QUOTE_BAR.sub("", line)
+            out[-1].append(QUOTE_BAR.sub("", line))
         else:
-            out.append(line)
+            out.append([line])
         n = len(shown.split())
         wrapped = 4 <= n and 24 <= len(shown.strip()) <= 110 and not END.search(shown)
         open_line = bool(wrapped and (open_line or not marked) and not RECORD.match(shown))
-    return out
+    return [" ".join(lines) for lines in out]
 
 
 def unit_stats(unit: str, common: frozenset[str]) -> tuple[int, list[float], str]:

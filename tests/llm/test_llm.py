@@ -109,6 +109,7 @@ def test_classes_of_units():
         assert quality.unit_stats(example, common)[2] == kind or kind != "prose" and quality.unit_stats(example, common)[2] != "prose", example
     wrapped = "The clerk wrote a note about the\nbalance of the loan, and the customer\nasked for it twice."
     assert len(quality.units(wrapped, common)) == 1
+    assert len(quality.units(wrapped.rstrip(".") * 3000, common)) <= 2
 
 
 def test_documents_that_are_no_prose(spark):
