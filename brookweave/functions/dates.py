@@ -66,3 +66,14 @@ def three_months_back(c: Column) -> Column:
 def days(start: Column, end: Column) -> Column:
     """All days from start to end, both included; empty if the end is earlier."""
     return F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<date>"))
+
+
+def year_month_day(c: Column) -> Column:
+    """``[year, month, day]`` as text without leading zeros, null where no date can be read."""
+    day = parse_date(c)
+    return F.when(day.isNotNull(), F.array(*[f(day).cast("string") for f in (F.year, F.month, F.dayofmonth)]))
+
+
+def local_time(c: Column, zone: str = "Asia/Ho_Chi_Minh") -> Column:
+    """The wall clock in ``zone`` of an instant given in UTC."""
+    return F.from_utc_timestamp(c, zone)

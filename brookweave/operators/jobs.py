@@ -93,3 +93,8 @@ def run_conditions(conditions: Sequence[tuple[str, bool, Callable[[], bool]]]) -
         if enabled and not test():
             return False, name
     return True, None
+
+
+def all_succeeded_on(log: DataFrame, jobs: Sequence[str], cob_jobs: Sequence[str], workday: bool, order: str, **kwargs) -> DataFrame:
+    """:func:`all_succeeded`, with the close-of-business jobs required too on a workday."""
+    return all_succeeded(log, [*jobs, *cob_jobs] if workday else jobs, order, **kwargs)

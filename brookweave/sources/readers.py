@@ -230,3 +230,16 @@ def scan_items(df: DataFrame, condition: Column | str, project: Sequence[Column
 def sample_items(spark: SparkSession, path: str, n: int = 250) -> DataFrame:
     """The first ``n`` items of a JSON list (the feature is the limit)."""
     return spark.read.json(path, multiLine=True).limit(n)
+
+
+def source_and_target(spark: SparkSession, source: Input, target: str) -> tuple[DataFrame | None, DataFrame]:
+    """The frames of a merge: an input and the catalog table it goes to."""
+    return read(spark, source), spark.table(target)
+
+
+def to_pandas(spark: SparkSession, query: str, most_rows: int = 100_000):
+    """A small result as pandas; a larger one is refused rather than brought to the driver."""
+    rows = spark.sql(query).limit(most_rows + 1).toPandas()
+    if len(rows) > most_rows:
+        raise ValueError(f"more than {most_rows} rows")
+    return rows
