@@ -64,18 +64,18 @@ def cast_string_to_unix_timestamp(df: DataFrame, column_patterns: Patterns, time
 
 
 @operator()
-def cast_epoch_ms_to_timestamp(df: DataFrame, column_patterns: Patterns) -> DataFrame:
-    """Milliseconds since the epoch, fraction kept."""
+def cast_epoch_ms_to_timestamp(df: DataFrame, column_patterns: Patterns, timezone: str | None = None) -> DataFrame:
+    """Milliseconds since the epoch, fraction kept. An instant has no zone: ``timezone`` is accepted and changes nothing."""
     return apply(df, column_patterns, lambda c: F.timestamp_millis(c.try_cast("bigint")))
 
 
 @operator()
-def cast_unix_timestamp_to_timestamp(df: DataFrame, column_patterns: Patterns) -> DataFrame:
+def cast_unix_timestamp_to_timestamp(df: DataFrame, column_patterns: Patterns, timezone: str | None = None) -> DataFrame:
     return apply(df, column_patterns, lambda c: F.timestamp_seconds(c.try_cast("bigint")))
 
 
 @operator()
-def cast_unix_timestamp_to_timestamp_v2(df: DataFrame, column_patterns: Patterns) -> DataFrame:
+def cast_unix_timestamp_to_timestamp_v2(df: DataFrame, column_patterns: Patterns, timezone: str | None = None) -> DataFrame:
     """Milliseconds since the epoch to whole seconds."""
     return apply(df, column_patterns, lambda c: F.timestamp_seconds(F.floor(c.try_cast("bigint") / 1000)))
 
@@ -153,6 +153,6 @@ def add_partition_date_column(df: DataFrame, column_name: str = "ds_partition_da
     return df.withColumn(column_name, F.to_utc_timestamp(col(source_column), "UTC+7").cast("date"))
 
 
-@operator()
+@operator(synonyms={"column_name": "column_patterns"})
 def get_last_day_of_month(df: DataFrame, column_patterns: Patterns, date_format: str = "MM/yyyy") -> DataFrame:
     return apply(df, column_patterns, lambda c: F.last_day(dates.parse_date(c, [date_format])))

@@ -5,7 +5,7 @@ Ties are broken by all remaining columns, so results do not depend on the order
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,12 +42,12 @@ def drop_duplicate_primarykey_order_by(df: DataFrame, primary_column: Sequence[s
     return top_one(df, keys, [col(col_order).desc_nulls_last()])
 
 
-@operator()
+@operator("distinct_dataframe")
 def distinct(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-@operator()
+@operator("scd_type2_dedup_by_hash_index")
 def scd2_dedup_by_hash(df: DataFrame, hash_index: str, base_field: str, created_field: str, primary_columns: Sequence[str]) -> DataFrame:
     """Drops rows that repeat the hash of the row before (per key, by ``base_field``); the base field becomes the
     created field. A first row stays; a null hash never repeats."""
@@ -56,20 +56,20 @@ def scd2_dedup_by_hash(df: DataFrame, hash_index: str, base_field: str, created_
     return df.withColumn("_repeat", repeat).where("not _repeat").drop("_repeat").withColumn(created_field, col(base_field)).drop(base_field)
 
 
-@operator()
+@operator("scd_type2_fill_record_update_time")
 def scd2_fill_updated_time(df: DataFrame, partition_key: Sequence[str], created_field: str, updated_field: str) -> DataFrame:
     """The next row's created time, or the open end."""
     w = Window.partitionBy(*[col(c) for c in partition_key]).orderBy(col(created_field))
     return df.withColumn(updated_field, F.coalesce(F.lead(col(created_field)).over(w), open_time().cast(type_of(df, created_field))))
 
 
-@operator()
+@operator("fill_record_status_1tm")
 def scd2_fill_status(df: DataFrame, column_name: str, base_field: str) -> DataFrame:
     open_ = open_time().cast(type_of(df, base_field))
     return df.withColumn(column_name, F.when(col(base_field) == open_, 1).otherwise(0))
 
 
-@operator()
+@operator("fill_record_change_type_1tm")
 def fill_change_type(df: DataFrame, column_name: str, change_type: str) -> DataFrame:
     return df.withColumn(column_name, F.lit(change_type))
 
@@ -81,14 +81,14 @@ def latest_as_of(df: DataFrame, keys: Sequence[str], created: str, updated: str,
     return top_one(alive, keys, [col(created).desc_nulls_last()])
 
 
-@operator()
+@operator("da_get_snapshot_from_scd_type_2")
 def scd2_to_snapshot(df: DataFrame, technical_columns: Sequence[str] = (), process_date: str | None = None) -> DataFrame:
     """Drops the technical columns; ``ds_process_date`` is the given day, or yesterday."""
     day = F.lit(process_date).cast("date") if process_date else F.date_sub(F.current_date(), 1)
     return df.drop(*technical_columns).withColumn("ds_process_date", day)
 
 
-@operator()
+@operator("cdc_1_3_scd2_columns")
 def cdc_to_scd2_columns(df: DataFrame, timestamp_columns: Sequence[str], inf_year: int = 9999, created_field: str = "ds_record_created_timestamp") -> DataFrame:
     """Time columns to timestamps, null from ``inf_year`` on; created is the first that is not null."""
     times = {c: col(c).try_cast("timestamp") for c in timestamp_columns}
@@ -103,13 +103,20 @@ def cdc_to_scd2_columns(df: DataFrame, timestamp_columns: Sequence[str], inf_yea
     )
 
 
-@operator()
+@operator("add_indentifier_for_scd_operation")
 def add_scd_identifiers(
-    df: DataFrame, created: str, updated: str, deleted: str, date: str, golden_is_empty: bool = False
-) -> DataFrame:
+    df: DataFrame, created: str = "ds_record_created_timestamp", updated: str = "ds_record_updated_timestamp", deleted: str = "isdeleted",
+    date: str | None = None, golden_is_empty: bool = False, golden_catalog: str | None = None,
+    tables: Mapping[str, DataFrame] | None = None, cob_date: str | None = None,
+) -> DataFrame:
     """Change type of every row on a day. Against an empty target all are inserts. Otherwise, first match: created on
     the day CDC_INSERT, deleted flag CDC_DELETE, not updated on the day no change (left out), else CDC_UPDATE; a row
     created and deleted on one day is given as an insert (index 1) and a delete (index 2)."""
+    if golden_catalog is not None:
+        golden = (tables or {}).get(golden_catalog)
+        golden_is_empty = golden is None or golden.isEmpty()
+    if date is None and cob_date:
+        date = f"{cob_date[:4]}-{cob_date[4:6]}-{cob_date[6:8]}"
     if golden_is_empty:
         return df.withColumns({"ds_record_change_type": F.lit("CDC_INSERT"), "ds_cdc_index": F.lit(1)})
     day = F.lit(date).cast("date")

@@ -166,14 +166,14 @@ def _masked(df: DataFrame, names: Sequence[str], f: Callable[[str | None], str |
     return df.withColumns(out)
 
 
-@operator()
+@operator("create_mask_pii_df")
 def mask_pii(df: DataFrame, column_patterns: Sequence[str], key: str | bytes | None = None) -> DataFrame:
     """Masks text, whole numbers, decimals, arrays of text and maps with text keys; columns of other types are left."""
     secret = _secret(key)
     return _masked(df, pick(df, column_patterns), lambda v: mask_value(secret, v))
 
 
-@operator()
+@operator("create_mask_pii_df_with_condition")
 def mask_pii_with_condition(
     df: DataFrame, column_patterns: Sequence[str], filter_conditions: Mapping[str, Mapping[str, str]], key: str | bytes | None = None
 ) -> DataFrame:
@@ -198,7 +198,7 @@ def fpe_mask_email(df: DataFrame, column_patterns: Sequence[str], key: str | byt
     return _masked(df, pick(df, column_patterns), lambda v: mask_email_value(secret, v))
 
 
-@operator()
+@operator("create_mask_pii_datetime_df")
 def fpe_mask_datetime(df: DataFrame, column_patterns: Sequence[str], datetime_format: str = "%Y-%m-%d", key: str | bytes | None = None) -> DataFrame:
     secret = _secret(key)
     return _masked(df, pick(df, column_patterns), lambda v: mask_date_value(secret, v, datetime_format))

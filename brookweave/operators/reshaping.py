@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,9 @@ def explode_map_columns(
     drop_nulls: bool = False,
     dictionary: DataFrame | None = None,
     dictionary_filter: Mapping[str, str] | None = None,
+    use_groupings_from_tbl_dic_t24: bool = False,
+    tbl_dic_t24_load_details: Mapping[str, Any] | None = None,
+    tables: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """One row per key ``pos.sub_pos`` of any of the map columns, with ``pos`` and ``sub_pos``.
 
@@ -38,9 +42,21 @@ def explode_map_columns(
     field). A row without keys stays once with nulls, unless ``drop_nulls`` removes rows of nulls and blanks only.
     """
     groups = manual_groupings or {}
+    chosen = None
+    if use_groupings_from_tbl_dic_t24:
+        details = tbl_dic_t24_load_details or {}
+        dictionary = (tables or {}).get(details.get("table"))
+        if dictionary is None:
+            raise ValueError("the dictionary table is not among the tables")
+        dictionary_filter = {
+            "table_name": details["t24_table_name"], "multi_value": details["multi_value_group"],
+            "sub_value": details.get("sub_value_group"), "mapping": details.get("column_names_mapper"),
+        }
+        chosen = details.get("columns_selection")
     if dictionary is not None:
         groups = dictionary_groups(dictionary, **(dictionary_filter or {}))
-    multi, sub = list(groups.get("multi_cols", ())), list(groups.get("sub_multi_cols", ()))
+    kept = set(pick(df, chosen)) if chosen else None
+    multi, sub = ([c for c in groups.get(k, ()) if kept is None or c in kept] for k in ("multi_cols", "sub_multi_cols"))
     if not multi + sub:
         raise ValueError("no map column is given")
     keys = F.array_distinct(F.concat(*[F.coalesce(F.map_keys(col(c)), F.array().cast("array<string>")) for c in multi + sub]))
@@ -85,7 +101,7 @@ def parse_json_cols(df: DataFrame, column_name: str, column_parse: Sequence[str]
 
 
 def _from_json(name: str, kind: str):
-    @operator(name)
+    @operator(name, synonyms={"column_name": "column_patterns"})
     def f(df: DataFrame, column_patterns: Sequence[str]) -> DataFrame:
         return df.withColumns({c: F.from_json(col(c), kind) for c in pick(df, column_patterns)})
 

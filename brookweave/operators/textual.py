@@ -56,12 +56,12 @@ def split_string_get_element(df: DataFrame, source_column: str, target_column: s
     return df.withColumn(target_column, F.try_element_at(F.split(col(source_column), split_pattern), F.lit(extract_index)))
 
 
-@operator()
+@operator(synonyms={"exclusive_columns": "exclusive"})
 def calculate_hash_index(df: DataFrame, column_name: str = "hash_index", exclusive: Sequence[str] = ()) -> DataFrame:
     return df.withColumn(column_name, row_hash([col(c) for c in df.columns if c not in set(exclusive)]))
 
 
-@operator()
+@operator(synonyms={"include_columns": "inclusive"})
 def add_pk_from_columns(df: DataFrame, column_name: str, inclusive: Sequence[str]) -> DataFrame:
     """Hash of the listed columns in the order of the frame."""
     names = [c for c in df.columns if c in set(inclusive)]
@@ -122,9 +122,14 @@ def replace_value_in_map_type_column(df: DataFrame, column_name: str, replace_li
     return df.withColumn(column_name, F.transform_values(col(column_name), build))
 
 
-@operator()
-def mark_by_substring(df: DataFrame, column_patterns: Sequence[str], start: int = 0, end: int | None = None) -> DataFrame:
-    """The slice ``start:end`` of text, counted from 0; negative places count from the end."""
+@operator(synonyms={"fields_lst": "column_patterns"})
+def mark_by_substring(
+    df: DataFrame, column_patterns: Sequence[str], start: int = 0, end: int | None = None, index: str | None = None
+) -> DataFrame:
+    """The slice ``start:end`` of text, counted from 0; negative places count from the end. ``index`` is ``"start:end"``."""
+    if index is not None:
+        first, _, last = index.partition(":")
+        start, end = int(first or 0), int(last) if last else None
 
     def build(c: Column) -> Column:
         n = F.length(c)
@@ -135,7 +140,7 @@ def mark_by_substring(df: DataFrame, column_patterns: Sequence[str], start: int
     return df.withColumns({c: each_text(df, c, build) for c in pick(df, column_patterns)})
 
 
-@operator()
+@operator(synonyms={"fields_lst": "column_patterns", "const_value": "const", "field_id": "id_column"})
 def mark_by_combine_with_const(df: DataFrame, column_patterns: Sequence[str], const: str, id_column: str | None = None) -> DataFrame:
     """Elements of arrays and values of maps become the constant, followed by the row's id if one is named; nulls stay."""
     mark = F.concat_ws(" ", F.lit(const), col(id_column).cast("string")) if id_column else F.lit(const)

@@ -14,12 +14,16 @@ from pyspark.sql import DataFrame
 
 _OPERATORS: dict[str, Callable[..., DataFrame]] = {}
 _RULES: dict[str, Callable[..., DataFrame]] = {}
+_SYNONYMS: dict[str, Mapping[str, str]] = {}
 
 
-def operator(*names: str) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+def operator(*names: str, synonyms: Mapping[str, str] | None = None) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+    """Registers an operator by its own name and ``names``; ``synonyms`` are other names of its parameters in steps."""
+
     def add(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-        for name in names or (f.__name__,):
+        for name in {f.__name__, *names}:
             _OPERATORS[name] = f
+            _SYNONYMS[name] = synonyms or {}
         return f
 
     return add
@@ -52,7 +56,7 @@ def _bind(step: Mapping[str, Any], known: Mapping[str, Callable[..., DataFrame]]
         raise ValueError(f"unknown step {name!r}")
     f = known[name]
     accepted = inspect.signature(f).parameters
-    given = {k: v for k, v in step.items() if k != "name"}
+    given = {_SYNONYMS.get(name, {}).get(k, k): v for k, v in step.items() if k != "name"}
     if extra := set(given) - set(accepted):
         raise ValueError(f"{name} does not take {sorted(extra)}")
     given |= {k: v for k, v in context.items() if k in accepted and k not in given}

@@ -33,6 +33,8 @@ def test_pipeline_refuses_bad_steps(spark):
             registry.run_pipeline(df, [step])
     with pytest.raises(ValueError):
         projections.pyspark_df_function(df, "write")
+    named = registry.run_pipeline(spark.createDataFrame([("ab", 1)], "a string, b int"), [{"name": "calculate_hash_index", "exclusive_columns": ["b"]}, {"name": "mark_by_substring", "fields_lst": ["a"], "index": "1:"}])
+    assert one(named.select("a")) == [("b",)] and len(named.first().hash_index) == 64
     operators, rules = registry.names()
     assert len(operators) > 90 and "valid_mnemonic" in rules
 
@@ -110,6 +112,9 @@ def test_explode_maps(spark):
     d = spark.createDataFrame([("T", "Y", "G", None, "M"), ("T", "Y", "G", "S", "S"), ("T", "N", "G", None, "Z"), ("U", "Y", "G", None, "Q")], "TABLE_NAME string, status string, multi_value string, sub_value string, field_name string")
     groups = reshaping.dictionary_groups(d, "T", "G", "S")
     assert groups == {"multi_cols": ["m"], "sub_multi_cols": ["s"]}
+    details = {"table": "dic", "t24_table_name": "T", "multi_value_group": "G", "sub_value_group": "S", "columns_selection": ["m"]}
+    step = {"name": "explode_map_columns", "use_groupings_from_tbl_dic_t24": True, "tbl_dic_t24_load_details": details}
+    assert registry.run_pipeline(df, [step], context={"tables": {"dic": d}}).where("id = 1").count() == 2
     assert reshaping.explode_map_columns(df, dictionary=d, dictionary_filter={"table_name": "T", "multi_value": "G"}).count() == 4
 
 
