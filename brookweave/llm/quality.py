@@ -314,7 +314,7 @@ def text_statistics(df: DataFrame, doc_id: str, text: str, common_words: Sequenc
     texts have no words and null means and shares.
     """
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    lines = F.filter(F.split(t, r"\r\n|[\n\r]"), lambda x: F.length(F.trim(F.regexp_replace(x, r"\s", " "))) > 0)
+    lines = F.filter(F.split(t, r"\r\n|[\n\r]"), lambda x: F.length(F.regexp_replace(x, r"(?U)\s", "")) > 0)
     found = F.regexp_extract_all(F.lower(t), F.lit(r"[\p{L}\p{N}\p{M}]+"), F.lit(0))
     base = df.select(
         F.col(doc_id).alias("doc_id"), found.alias("_w"), lines.alias("_l"),

@@ -64,4 +64,18 @@ def p9_classes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p7_ids, p8_found, p8_spans, p9_found, p9_stats, p9_classes)}
-SQL: dict[str, str] = {}
+
+_SPACE = r"\x{09}-\x{0d}\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: Only the plain statistics have an SQL form; encoding, the index and the mixture are tested against brute force.
+SQL: dict[str, str] = {
+    "p9_stats": rf"""
+with t as (select doc_id, coalesce(text, '') as t from documents),
+w as (select doc_id, regexp_extract_all(lower(t), '[\p{{L}}\p{{N}}\p{{M}}]+') as w,
+    list_filter(string_split_regex(t, '\r\n|[\n\r]'), lambda x: length(regexp_replace(x, '[{_SPACE}]', '', 'g')) > 0) as l,
+    length(regexp_replace(t, '[{_SPACE}]', '', 'g')) as n_visible, length(regexp_replace(t, '[{_SPACE}\p{{L}}\p{{N}}\p{{M}}]', '', 'g')) as symbols from t),
+c as (select list(distinct lower(word)) as known from common_words where word is not null)
+select doc_id, len(w)::int as n_words, n_visible::int as n_visible, len(l)::int as n_lines,
+  list_sum(list_transform(w, lambda x: length(x))) / nullif(len(w), 0) as mean_word_length, symbols / nullif(n_visible, 0) as symbol_share,
+  len(list_filter(l, lambda x: regexp_matches(x, '[.!?:;\x{{2026}}]\s*$'))) / nullif(len(l), 0) as ended_lines_share,
+  len(list_filter(w, lambda x: list_contains(known, x))) / nullif(len(w), 0) as common_share from w, c""",
+}
