@@ -465,6 +465,51 @@ def _(s, d):
     return G.job_status(job_tables(s, d)[1], "job7", "2024-01-31")
 
 
+#: The whole of lineitem: a job is an order, its dependencies are the order's lines, its group the order's priority.
+_LINE_JOBS = """with wt as (select distinct 'job' || l_orderkey as job_name, o_orderpriority as job_grp, 'S' || l_linestatus || '.line' || l_orderkey || '-' || l_linenumber as job_dependency
+  from lineitem join orders on l_orderkey = o_orderkey),
+lg as (select distinct case when l_returnflag = 'N' then 0 else 1 end as status, 'S' || l_linestatus as system_type, 'line' || l_orderkey || '-' || l_linenumber as job_name from lineitem
+  union all select distinct case when o_orderstatus = 'F' then 1 else 0 end, 'S' || o_orderstatus, 'job' || o_orderkey from orders where o_orderstatus <> 'O')"""
+
+
+def line_job_tables(s, d):
+    lines, orders = table(s, d, "lineitem"), table(s, d, "orders")
+    line = F.concat(F.lit("line"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    system = lambda c: F.concat(F.lit("S"), c)
+    job = lambda c: F.concat(F.lit("job"), F.col(c).cast("string"))
+    day = F.lit("2024-01-31").cast("date").alias("cob_dt")
+    wt = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        job("l_orderkey").alias("job_name"), F.col("o_orderpriority").alias("job_grp"), F.concat(system(F.col("l_linestatus")), F.lit("."), line).alias("job_dependency")
+    ).distinct()
+    done = lines.select(F.when(F.col("l_returnflag") == "N", 0).otherwise(1).alias("status"), system(F.col("l_linestatus")).alias("system_type"), line.alias("job_name"), day)
+    begun = orders.where("o_orderstatus <> 'O'").select(
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("status"), system(F.col("o_orderstatus")).alias("system_type"), job("o_orderkey").alias("job_name"), day
+    )
+    return wt, done.distinct().unionByName(begun.distinct())
+
+
+def _available_lines(extra: str) -> str:
+    return f"""{_LINE_JOBS} select wt.job_name from wt left join lg l1 on split_part(wt.job_dependency, '.', 1) = l1.system_type and split_part(wt.job_dependency, '.', 2) = l1.job_name and l1.status = 1
+where wt.job_grp = '1-URGENT' and not exists (select 1 from lg l2 where l2.job_name = wt.job_name{extra}) group by 1 having count(wt.job_name) = count(l1.job_name)"""
+
+
+@query("jobs_available_lines", _available_lines(""))
+def _(s, d):
+    return G.available_jobs(*line_job_tables(s, d), "1-URGENT", "2024-01-31")
+
+
+@query("jobs_available_waiting_lines", _available_lines(" and l2.system_type = 'SP'"))
+def _(s, d):
+    wt, lg = line_job_tables(s, d)
+    return G.available_jobs(wt.withColumn("wait_status", F.lit("Y")), lg, "1-URGENT", "2024-01-31", "SP", "wait_status")
+
+
+@query("group_pending_lines", f"""{_LINE_JOBS} select count(*) as n_unfinished from (select wt.job_name from wt left join lg on wt.job_name = lg.job_name and lg.status = 1
+  where wt.job_grp = '2-HIGH' group by 1 having count(wt.job_name) <> count(lg.job_name))""")
+def _(s, d):
+    return G.unfinished_jobs(*line_job_tables(s, d), "2-HIGH", "2024-01-31")
+
+
 _RUNS = "with r as (select 'u' || user_id as job_name, ts, case event_type when 'error' then 'FAILED' when 'view' then 'SKIPPED' else 'SUCCEEDED' end as status, event_id from events)"
 
 

@@ -296,3 +296,12 @@ def test_versioned_table(spark, tmp_path):
     with pytest.raises(ValueError):
         t.merge(df, "nope")
     assert tables.data_columns(df.withColumn("ds_cdc_index", F.lit(1)), "scd2") == ["k", "v"]
+
+
+def test_job_queries_read_every_line(spark, sf):
+    wt, _ = catalogue.line_job_tables(spark, sf)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_linestatus").distinct()
+    assert wt.count() == lines.count()
+    for name in ("jobs_available_lines", "jobs_available_waiting_lines"):
+        assert catalogue.QUERIES[name](spark, sf).count() > 0
+        assert "%" not in catalogue.SQL[name]
