@@ -80,6 +80,32 @@ def test_area_of_separate_and_equal_sides():
     assert profile.cross_fitted(frame, ["c_x"]) == pytest.approx(0.5)
 
 
+def test_shift_of_a_median_near_half_zeros(spark):
+    """51 of 100 values are zero, 49 in the peers: the median is 0 and the shares hardly differ."""
+    rows = [(day * 1000 + k, day, "A", 0.0 if k < (51 if day == 3 else 49) else 1000.0 + k, "VND", k % 2) for day in range(1, 9) for k in range(100)]
+    found = issues(spark.createDataFrame(rows, "id bigint, day int, src string, v double, c string, i int"))
+    assert {i for i in found if i[2] == "shift"} == {(3, "v", "shift")}
+
+
+def test_shift_of_small_loads(spark):
+    """Loads of 1 to 20 rows against the plain definition."""
+    rng = random.Random(8)
+    rows = [(day * 1000 + k, day, "A", 100.0 + k, rng.choice(["VND", "VND", "USD", "JPY"]), rng.choice([0, 1])) for day in range(21, 27) for k in range(200)]
+    rows += [(day * 1000 + k, day, "A", 100.0 * rng.choice([1, 50]), rng.choice(["VND", "USD", "EUR"]), rng.choice([0, 1, 2])) for day in range(1, 21) for k in range(day)]
+    want = set()
+    medians = {day: float(np.median([r[3] for r in rows if r[1] == day])) for day in range(1, 27)}
+    peer = float(np.median(list(medians.values())))
+    want |= {(day, "v", "shift") for day, m in medians.items() if m > 5 * peer or m * 5 < peer}
+    for at, name in ((4, "c"), (5, "i")):
+        pool = pd.Series([r[at] for r in rows]).value_counts(normalize=True)
+        for day in range(1, 27):
+            own = pd.Series([r[at] for r in rows if r[1] == day]).value_counts(normalize=True)
+            if pool.sub(own, fill_value=0).abs().sum() / 2 > 0.30:
+                want.add((day, name, "shift"))
+    df = spark.createDataFrame(rows, "id bigint, day int, src string, v double, c string, i int")
+    assert (1, "c", "shift") in want and {i for i in issues(df) if i[2] == "shift"} == want
+
+
 def test_exact_medians(spark):
     rng = np.random.default_rng(1)
     values = [float(x) for x in np.concatenate([rng.lognormal(3, 2, 501), np.zeros(20), -rng.lognormal(3, 2, 100)])] + [5.0] * 30
