@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brookweave.llm.text import BLOCK_TAG, WORD, fold, visible
+from brookweave.llm.text import BLOCK_TAG, WORD, fold, replace_tags, visible
 from brookweave.session import persist_table, spread
 
 CLASSES = ("prose", "list", "table", "junk")
@@ -58,7 +58,7 @@ def common_words_share(tokens: Sequence[str], common: frozenset[str]) -> float:
 def units(text: str, common: frozenset[str]) -> list[str]:
     """Lines without blank ones; a line that was wrapped is joined with the next one."""
     if "<" in text and not TABLE_TAG.search(text):
-        text = BLOCK_TAG.sub("\n", text)
+        text = replace_tags(BLOCK_TAG, "\n", text)
     out: list[list[str]] = []
     open_line = False
     for line in LINE.split(text):

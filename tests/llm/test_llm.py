@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -100,6 +101,30 @@ def test_reading_text():
     assert text.readings("plain text", set()) == [["plain", "text"]]
 
 
+def test_markup_of_any_length():
+    long = "x y " * 2000
+    for tag in (f'<a href="{long}">', f"<p style='{long}'>", '<my-tag class="k">', "</my-tag>", '<svg:path d="M 0">', f"<{'n' * 40}>", f"<a href={'z' * 9000}>", f"<a href = '{long}' >", f"<!-- {long} -->", "<!-- <b>a</b> <p> -->", "<!-->", "<p-note id='1'>"):
+        assert text.words(f"one {tag} two") == ["one", "two"], tag[:40]
+    assert text.visible("a<my-tag>b</my-tag>c<p-x>d") == "abcd" and text.visible("a<p class='k'>b<br/>c") == "a\nb\nc"
+    assert text.words("2 < 3 and 5 > 4 <!-- no end") == ["2", "3", "and", "5", "4", "no", "end"]
+    assert len(quality.units(f"The loan was paid.<p style='{long}'>The card was not.", quality.folded(COMMON))) == 2
+    began = time.process_time()
+    for hostile in ("<a " * 300_000, "<!--" * 300_000, "<p " + "x" * 1_000_000, "<" + "a-" * 500_000, "<!-- -- " * 100_000, "<a " + "x=1 " * 300_000 + "<", "<a " + "= " * 300_000 + ">"):
+        text.visible(hostile)
+    assert time.process_time() - began < 10
+
+
+def test_leak_around_long_tags(spark):
+    words = [f"word{k}" for k in range(20)]
+    href = "/".join(f"part{k}" for k in range(60))
+    docs = [(1, " ".join(words[:10]) + f' <a href="{href}">' + " ".join(words[10:]) + "</a>"), (2, " ".join(words[:10]) + f" <!-- {'note ' * 600}--> " + " ".join(words[10:]))]
+    docs += [(3, " ".join(words[:10]) + ' <my-tag class="k"> ' + " ".join(words[10:])), (4, " ".join(words[:10]) + " other " + " ".join(words[10:]))]
+    docs += [(5, "where x <y note " + "other " * 40 + " ".join(words) + " and z > 3")]
+    corpus, items = spark.createDataFrame(docs, "d int, t string"), spark.createDataFrame([(7, " ".join(words))], "i int, t string")
+    spans = leakage.leaked_spans(corpus, "d", "t", items, "i", "t")
+    assert {r.doc_id for r in leakage.leaked_items(spans).collect()} == {1, 2, 3, 5}
+
+
 COMMON = ["the", "a", "and", "of", "for", "it", "was", "had", "that", "to", "in", "on", "is", "và", "của", "cho", "đã", "vì"]
 
 
