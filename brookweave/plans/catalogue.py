@@ -1093,6 +1093,18 @@ def _(s, d):
     return run_pipeline(table(s, d, "orders"), steps, checks)
 
 
+@query("pipeline_fold_values", "select o_orderkey as order_key, upper(o_orderstatus) as status, o_totalprice::double as price, sha256(concat_ws('||', o_orderkey::varchar, upper(o_orderstatus))) as h from orders where o_totalprice between 1000 and 450000")
+def _(s, d):
+    steps = [
+        {"name": "drop_all_column_except", "column_list": ["o_orderkey", "o_orderstatus", "o_totalprice"]},
+        {"name": "rename_column", "rename_list": [{"origin": "o_orderkey", "new": "order_key"}, {"origin": "o_orderstatus", "new": "status"}, {"origin": "o_totalprice", "new": "price"}]},
+        {"name": "da_text_with_unicode", "column_patterns": ["status"]},
+        {"name": "calculate_hash_index", "column_name": "h", "exclusive_columns": ["price"]},
+    ]
+    checks = [{"name": "valid_numeric", "column_patterns": ["price"], "min_value": 1000, "max_value": 450000, "is_mandatory": True}]
+    return run_pipeline(table(s, d, "orders"), steps, checks)
+
+
 def flagship(s: SparkSession, d: str) -> DataFrame:
     """Read, derive keys, merge: the shape of a curated job from end to end."""
     merged = M.scd2_merge(scd2_target(s, d), scd2_snapshot(s, d), ["c_custkey", "src"], DAY)

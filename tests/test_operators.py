@@ -305,3 +305,10 @@ def test_job_queries_read_every_line(spark, sf):
     for name in ("jobs_available_lines", "jobs_available_waiting_lines"):
         assert catalogue.QUERIES[name](spark, sf).count() > 0
         assert "%" not in catalogue.SQL[name]
+
+
+def test_pipeline_reads_every_order(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    got = {r.order_key for r in catalogue.QUERIES["pipeline_fold_values"](spark, sf).collect()}
+    assert got == {r.o_orderkey for r in orders.collect() if 1000 <= r.o_totalprice <= 450000}
+    assert 0.8 * orders.count() < len(got) < orders.count() and min(got) < 100
