@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookweave.functions.scalars import strip
@@ -23,8 +23,10 @@ def parse_strict(text: Column) -> Column:
     """The text as a variant; null unless the whole text is one JSON value.
 
     The variant parser stops after the first value. Text that parses both inside brackets and inside braces has
-    nothing after that value. An object that repeats a key is not unambiguous and gives null.
+    nothing after that value. Of a key that an object repeats the last value counts; the parser takes that from the
+    session alone, so it is set there and stays set.
     """
+    SparkSession.active().conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     inside = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
     whole = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
     return F.when(whole, F.variant_get(inside, "$.v", "variant"))

@@ -302,6 +302,13 @@ def test_flatten_json_variants(spark):
     assert {(r.parent_id, r.elem_path, r.subtype) for r in rows} >= {(1, "info.a", "mixed_list"), (2, "info.a", "single_text"), (2, "info.b", "named_list")}
 
 
+def test_flatten_json_with_repeated_keys(spark):
+    docs = [(1, '{"a": ["x"], "rank": 1, "rank": 2}'), (2, '{"info": {"a": ["x"], "a": ["y", "z"]}}'), (3, '{"a": [{"name": "p", "name": "q"}]}'), (4, '{"a": ["x"], "a": ["y"]} tail'), (5, '1, "v": {"a": ["x"]}'), (6, '1}, {"v": {"a": ["x"]}')]
+    df = spark.createDataFrame(docs, "id int, j string").select("id", flatten.parse_strict(F.col("j")).alias("d"))
+    rows = flatten.flatten_variant_lists(df, parent="t", row_id="id", document=F.col("d"), wrapper="info", paths=("a",)).collect()
+    assert {(r.parent_id, r.elem_pos, r.elem_text) for r in rows} == {(1, 0, "x"), (2, 0, "y"), (2, 1, "z"), (3, 0, "q")}
+
+
 def test_flatten_maps_and_structs(spark):
     df = spark.createDataFrame(
         [(1, [{"k": "v", "n": None}, None, {"k": " "}, {"m": " w "}]), (2, []), (3, None)], "id int, m array<map<string,string>>"
