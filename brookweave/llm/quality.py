@@ -1,309 +1,228 @@
 """Per-document text statistics, and the texts that are no natural prose.
 
-A text is cut into *units*: lines, with hard-wrapped lines joined again. Every unit gets a vector of statistics. A
-Gaussian mixture is fitted by expectation-maximization on the standardised vectors of all units of all documents; its
-components are mapped to prose, list, table or junk by inspected examples; a document's classes are the shares of its
-visible characters by unit. Documents for which the mixture sees enough other than prose are checked exactly, unit by
-unit, with written rules.
+A text is cut into *units*: lines, with hard-wrapped lines joined again. Every unit gets a vector of statistics
+(:mod:`brookweave.llm.units`). A Gaussian mixture with full covariances is fitted by expectation-maximization on the
+standardised vectors of all units of all documents; each component gets a class (prose, list, table, junk) from
+inspected examples; a document's classes are the shares of its visible characters by the class of the component that
+answers for the unit. Nothing but the mixture decides.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brookweave.llm.text import BLOCK_TAG, WORD, fold, replace_tags, visible
+from brookweave.llm.examples import EXAMPLES
+from brookweave.llm.units import FEATURES, common_hashes, unit_statistics
 from brookweave.session import persist_table, spread
 
 CLASSES = ("prose", "list", "table", "junk")
-FEATURES = (
-    "log_words", "common_share", "symbol_share", "digit_share", "ends_sentence", "delimiters", "repetition",
-    "word_length", "marker", "strange_share", "columns",
-)
-#: Edges of the grid on which units are counted for the fit: at most 55,296 cells, each with its exact sums.
-GRID = (
-    (1.2, 2.0, 2.8), (0.05, 0.15, 0.3), (0.03, 0.15), (0.05, 0.3), (0.5,), (0.1, 0.5), (0.4,), (3.0, 6.0, 15.0), (0.5,), (0.05,), (0.5,),
-)
-
-LINE = re.compile(r"\r\n|[\n\r\x0b\x0c\x85\u2028\u2029]")
-END = re.compile(r"[.!?…:;][\"'”’»)\]]*\W*$")
-MARKER = re.compile(r"^\s*(?:[-*•·–▪‣o]\s+(?:\[[ xX]\]\s+)?|\(?\d{1,3}[.)]\s+|\(?[a-zA-Z][.)]\s+|#{1,6}\s)")
-STRANGE = re.compile("[\x80-\x9f\ufffd\u2190-\u21ff\u2500-\u27bf\u2b00-\u2bff\U0001f000-\U0001faff]")
-#: Two-letter traces of UTF-8 read as Latin-1 or Windows-1252.
-BROKEN = re.compile(r"[ÃÂÄÅÆáâ][\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜™š›œžŸ¡-¿]")
-SYMBOL = re.compile(r"[^\w\s.,;:!?'\"()\-–—…“”‘’%/&]")
-DELIMITER = re.compile(r"[|\t;,]")
-NOTHING = re.compile(r"\bn/a\b", re.I)
-SLASHED = re.compile(r"\S[ ]?[;/][ ]\S|\S;\S|;;")
-GAP = re.compile(r"(?<=\S)(?:\s{3,}|\t+)(?=\S)|\|")
-QUOTE_BAR = re.compile(r"^\s*\|\s+(?=[^|]*$)")
-TABLE_TAG = re.compile(r"</?(?:table|tr|td|th|thead|tbody)\b", re.I)
-LOG = re.compile(r"^\s*\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d\S*\s+\[?[A-Z]{3,8}\]?")
-HEX_PAIRS = re.compile(r"(?:\b[0-9a-fA-F]{2}\b\s*){12,}")
-CODE = re.compile(r"[{}]|;;|<<|>>|\w\[\d+\]|==|\w+\(\)|=>|\+=")
-RECORD = re.compile(r"^[^:=]{1,60}[:=]\s*[-+]?[\d.,]+\s*[A-Z%]{0,4}\s*$")
-QUOTED_CELLS = re.compile(r"\"\s*[,;]\s*\"|^\s*\{\s*\"|\":\s*[\"\d\[{]")
-LONG_TOKEN = re.compile(r"[A-Za-z0-9+/=_-]{40,}")
-
-
-def common_words_share(tokens: Sequence[str], common: frozenset[str]) -> float:
-    return sum(t in common for t in tokens) / max(1, len(tokens))
-
-
-def units(text: str, common: frozenset[str]) -> list[str]:
-    """Lines without blank ones; a line that was wrapped is joined with the next one."""
-    if "<" in text and not TABLE_TAG.search(text):
-        text = replace_tags(BLOCK_TAG, "\n", text)
-    out: list[list[str]] = []
-    open_line = False
-    for line in LINE.split(text):
-        if not line.strip():
-            open_line = False
-            continue
-        shown = QUOTE_BAR.sub("", visible(line, tags=False))
-        marked = MARKER.match(shown) or TABLE_TAG.search(line) or QUOTED_CELLS.search(shown)
-        if not marked and GAP.search(shown.strip()):
-            marked = "|" in shown or common_words_share(WORD.findall(fold(NOTHING.sub(" ", shown))), common) < 0.15
-        if open_line and not marked:
-            out[-1].append(QUOTE_BAR.sub("", line))
-        else:
-            out.append([line])
-        n = len(shown.split())
-        wrapped = 4 <= n and 24 <= len(shown.strip()) <= 110 and not END.search(shown)
-        open_line = bool(wrapped and (open_line or not marked) and not RECORD.match(shown))
-    return [" ".join(lines) for lines in out]
-
-
-def unit_stats(unit: str, common: frozenset[str]) -> tuple[int, list[float], str]:
-    """Visible characters, statistics and the class by rule of one unit."""
-    raw_size = sum(map(len, unit.split()))
-    shown = QUOTE_BAR.sub("", visible(unit))
-    if not shown.strip():
-        return raw_size, [0.0] * len(FEATURES), "table" if TABLE_TAG.search(unit) else "junk"
-    body = MARKER.sub("", shown, count=1)
-    tokens = WORD.findall(fold(NOTHING.sub(" - ", body)))
-    n = max(1, len(tokens))
-    size = max(1, sum(map(len, shown.split())))
-    letters = [t for t in tokens if not t.isdigit()]
-    common_share = common_words_share(tokens, common)
-    symbols = len(SYMBOL.findall(shown)) / size
-    digits = sum(c.isdigit() for c in shown) / size
-    ends = bool(END.search(shown))
-    delimiters = len(DELIMITER.findall(shown)) / n
-    repetition = 1 - len(set(tokens)) / n if n >= 12 else 0.0
-    length = sum(map(len, tokens)) / n
-    marker = bool(MARKER.match(shown))
-    strange = (len(STRANGE.findall(unit)) + 2 * len(BROKEN.findall(shown))) / size
-    gaps = len(GAP.findall(shown.strip()))
-    columns = (gaps if common_share < 0.15 or "|" in shown else 0) + 2 * len(TABLE_TAG.findall(unit)) + 2 * len(QUOTED_CELLS.findall(shown))
-    stats = [
-        float(np.log1p(len(tokens))), common_share, symbols, digits, float(ends), min(delimiters, 3.0), repetition,
-        min(length, 40.0), float(marker), min(strange, 1.0), min(float(columns), 10.0),
-    ]
-    # the written rules
-    if TABLE_TAG.search(unit) or columns >= 2:
-        kind = "table"
-    elif strange > 0.06 or not letters or LOG.match(shown) or HEX_PAIRS.search(shown) or LONG_TOKEN.search(shown):
-        kind = "junk"
-    elif n >= 12 and repetition > 0.75:
-        kind = "junk"
-    elif common_share < 0.2 and len(SLASHED.findall(shown)) >= 2 and len(SLASHED.findall(shown)) * 6 >= n:
-        kind = "table" if digits > 0.1 or ";;" in shown or " " not in shown else "list"
-    elif not ends and n <= 2 or (" " not in shown.strip() and ";" in shown):
-        kind = "table" if ";" in shown else "list"
-    elif columns and len(tokens) <= 12:
-        kind = "table"
-    elif symbols > 0.12 or (len(CODE.findall(shown)) >= 3 and common_share < 0.1):
-        kind = "junk"
-    elif RECORD.match(shown) and len(tokens) <= 14:
-        kind = "table"
-    elif marker and (len(tokens) <= 8 or common_share < 0.1):
-        kind = "list"
-    elif len(tokens) <= 6 and not ends:
-        kind = "list"
-    elif common_share < 0.2 and shown.count(",") >= 4 and n <= 3.5 * (shown.count(",") + 1):
-        kind = "list"
-    elif n >= 8 and common_share == 0 and not ends:
-        kind = "junk"
-    elif digits > 0.5:
-        kind = "table"
-    else:
-        kind = "prose"
-    return raw_size, stats, kind
-
-
-#: Inspected examples (made up after the kinds of text seen in the tables) from which components start and get a class.
-EXAMPLES = (
-    ("prose", "The clerk wrote a note about the balance, and the customer asked for it twice because the rate had moved."),
-    ("prose", "Did the team ever see that the auditor had questioned the statement before the end of the week?"),
-    ("prose", "Khách hàng đã gửi lại giấy tờ cho chi nhánh, nhưng phòng tín dụng vẫn chưa duyệt vì lãi suất đã thay đổi."),
-    ("prose", "On 12/03/2022, the bank moved 12,500 EUR for contract AA0012345678, even though nobody had approved the transfer."),
-    ("list", "- the savings account"),
-    ("list", "1. giao dịch viên"),
-    ("list", "* [x] CRD.1234"),
-    ("list", "c) the night shift;"),
-    ("list", "the opening balance"),
-    ("list", "Anna Smith, LND.1234, sales team, BND.4321, Peter Jones, loan report, card unit, DEP.7777, closing balance"),
-    ("list", "loan report; sales team; LCX.1001; Anna Smith; card unit; DEP.7777; standing order; FXS.3000; Peter Jones"),
-    ("table", "<tr><td>2024-01-02</td><td>USD</td><td>12.50</td><td>AA12345678</td></tr>"),
-    ("table", "| AA12345678 | 2024-01-02 |  | 12.50 | USD |"),
-    ("table", '"AA12345678","2024-01-02","","12.50","USD"'),
-    ("table", '{"ar_id": "AA12345678", "rate": "12.50", "ccy": "USD"}'),
-    ("table", "AA12345678\t2024-01-02\t12.50\tUSD\tHanoi"),
-    ("table", "AA12345678;2024-01-02;;12.50;USD"),
-    ("table", "the savings account: 12,345.00"),
-    ("junk", "2024-01-02 10:11:12 [ERROR] 0x12ab34cd loader.main#12 rc=7"),
-    ("junk", "58 e1 40 6c 0f 7c e1 f1 27 ab 8d 04 db ef db 3c df 16 50 c1 81 db 58 33 19 07 a1 1f"),
-    ("junk", "cwiOEao47EpFOgO6wBG91UMt3LDm6aTCasSsERm12VbO1F4qjPhBjY9t1VQmulYfIjYrFL0OWiDjKyezzoyWA3n5FWl5eZuX"),
-    ("junk", "}} name_12 = other[34] << 5 ;; {"),
-    ("junk", "\u2192\U0001f600\u2605\u25a0\u2705\u274c\U0001f525\U0001f4b0\ufffd\u2592"),
-    ("junk", "KÃ¡ch hÃ ng Ä\x91Ã£ xÃ¡c nháº\xadn báº£n sao kÃª sá»\x91 dÆ°"),
-    ("junk", "???? ???? ???? ???? ???? ???? ???? ???? ???? ????"),
-    ("junk", "click, click, click, click, click, click, click, click, click, click, click, click, click, click"),
-)
-
-
-def cell_code(stats: np.ndarray) -> np.ndarray:
+#: Statistics on whose grid units are counted for the fit, with the edges: at most 186,624 cells, each with its exact
+#: first and second moments of all statistics.
+GRID = {
+    "log_words": (1.2, 2.0, 2.8), "common_share": (0.05, 0.15, 0.3), "symbol_share": (0.03, 0.15), "digit_share": (0.05, 0.3),
+    "cells": (0.1, 0.5), "marker": (0.5,), "ends_sentence": (0.5,), "repetition": (0.4,), "word_length": (3.0, 6.0),
+    "vowel_share": (0.2, 0.5), "strange_share": (0.05,), "log_block_lines": (0.9, 1.7),
+}
+
+
+def grid_cells(stats: np.ndarray) -> np.ndarray:
     """Mixed-radix number of the grid cell of every row of statistics."""
     code = np.zeros(len(stats), dtype=np.int64)
-    for i, edges in enumerate(GRID):
-        code = code * (len(edges) + 1) + np.searchsorted(edges, stats[:, i], side="right")
+    for name, edges in GRID.items():
+        code = code * (len(edges) + 1) + np.searchsorted(edges, stats[:, FEATURES.index(name)], side="right")
     return code
 
 
 class Mixture:
-    """Diagonal Gaussian mixture over standardised statistics with a class per component."""
+    """Gaussian mixture over standardised statistics with a class per component."""
 
-    def __init__(self, centre: np.ndarray, scale: np.ndarray, means: np.ndarray, variances: np.ndarray, weights: np.ndarray):
+    def __init__(self, centre: np.ndarray, scale: np.ndarray, weights: np.ndarray, means: np.ndarray, covariances: np.ndarray):
         self.centre, self.scale = centre, scale
-        self.means, self.variances, self.weights = means, variances, weights
+        self.weights, self.means = weights, means
         self.classes: np.ndarray = np.zeros(len(weights), dtype=int)
-
-    def standard(self, stats: np.ndarray) -> np.ndarray:
-        return (stats - self.centre) / self.scale
-
-    def responsibilities(self, z: np.ndarray) -> np.ndarray:
-        log = np.log(self.weights + 1e-12) - 0.5 * np.log(self.variances).sum(1)
-        log = log + np.stack([-0.5 * (((z - m) ** 2) / v).sum(1) for m, v in zip(self.means, self.variances)], axis=1)
+        self.set_covariances(covariances)
+
+    def set_covariances(self, covariances: np.ndarray) -> None:
+        self.roots = np.linalg.inv(np.linalg.cholesky(covariances)).transpose(0, 2, 1)
+        self.log_dets = np.log(np.abs(np.diagonal(self.roots, axis1=1, axis2=2))).sum(1)
+
+    def log_densities(self, z: np.ndarray, scatter: np.ndarray | None = None) -> np.ndarray:
+        """Weighted log density of every component; with the ``scatter`` (variances) of cells, its mean over the cell."""
+        out = np.empty((len(z), len(self.weights)))
+        for k, root in enumerate(self.roots):
+            square = (((z - self.means[k]) @ root) ** 2).sum(1)
+            if scatter is not None:
+                square = square + scatter @ (root**2).sum(1)
+            out[:, k] = np.log(self.weights[k] + 1e-300) + self.log_dets[k] - 0.5 * square
+        return out
+
+    def responsibilities(self, z: np.ndarray, scatter: np.ndarray | None = None) -> np.ndarray:
+        log = self.log_densities(z, scatter)
         log -= log.max(1, keepdims=True)
         p = np.exp(log)
         return p / p.sum(1, keepdims=True)
 
     def class_shares(self, stats: np.ndarray) -> np.ndarray:
-        """Probability of every class for every row."""
-        p = self.responsibilities(self.standard(stats))
-        return np.stack([p[:, self.classes == k].sum(1) for k in range(len(CLASSES))], axis=1)
+        """Probability of every class for every row of statistics."""
+        p = self.responsibilities((stats - self.centre) / self.scale)
+        return p @ np.eye(len(CLASSES))[self.classes]
 
 
-def fit_mixture(counts: np.ndarray, sums: np.ndarray, examples: np.ndarray, labels: Sequence[int], rounds: int = 60) -> Mixture:
-    """Expectation-maximization over grid cells (``counts`` units with the statistics' ``sums``), one component started
-    at each example; afterwards a component's class is that of the examples it answers for, or of the nearest one."""
-    points = sums / counts[:, None]
+def fit_mixture(
+    counts: np.ndarray, sums: np.ndarray, squares: np.ndarray, components: int = 64, rounds: int = 60, floor: float = 0.05, restarts: int = 4
+) -> Mixture:
+    """Expectation-maximization over grid cells (``counts`` units with the statistics' ``sums`` and sums of ``squares``).
+
+    A cell answers as a whole, with the scatter inside it, so means and variances are those of the units. Of several
+    starts the likeliest end counts; a start draws cells by squared distance from those drawn before (fixed seeds, cells
+    in a fixed order)."""
     total = counts.sum()
-    centre = (points * counts[:, None]).sum(0) / total
-    scale = np.sqrt((((points - centre) ** 2) * counts[:, None]).sum(0) / total) + 1e-3
-    z, start = (points - centre) / scale, (examples - centre) / scale
-    k = len(examples)
-    model = Mixture(centre, scale, start.copy(), np.full(start.shape, 0.5), np.full(k, 1.0 / k))
-    last = -np.inf
+    centre = sums.sum(0) / total
+    scale = np.sqrt(np.maximum(squares.sum(0) / total - centre**2, 0)) + 1e-3
+    means = sums / counts[:, None]
+    z = (means - centre) / scale
+    scatter = np.maximum(squares / counts[:, None] - means**2, 0) / scale**2
+    ends = [_maximize(counts, z, scatter, components, rounds, floor, seed) for seed in range(restarts)]
+    _, weights, centres, covariances = max(ends, key=lambda e: e[0])
+    return Mixture(centre, scale, weights, centres, covariances)
+
+
+def _maximize(counts: np.ndarray, z: np.ndarray, scatter: np.ndarray, components: int, rounds: int, floor: float, seed: int) -> tuple:
+    total, d = counts.sum(), z.shape[1]
+    rng = np.random.default_rng(seed)
+    picked = [int(counts.argmax())]
+    far = ((z - z[picked[0]]) ** 2).sum(1)
+    while len(picked) < min(components, len(z)) and far.sum() > 0:
+        p = far * np.sqrt(counts)
+        picked.append(int(rng.choice(len(z), p=p / p.sum())))
+        far = np.minimum(far, ((z - z[picked[-1]]) ** 2).sum(1))
+    k = len(picked)
+    covariances = np.repeat(0.5 * np.eye(d)[None], k, 0)
+    model = Mixture(np.zeros(d), np.ones(d), np.full(k, 1.0 / k), z[picked].copy(), covariances)
+    prior = max(2.0, total / 20_000)  # pseudo units per component, so that none shrinks to a point
+    score = last = -np.inf
     for _ in range(rounds):
-        p = model.responsibilities(z) * counts[:, None]
-        mass = p.sum(0) + 1e-6
-        # each component keeps its start as one pseudo unit in a thousand, so that rare kinds are not lost
-        prior = max(1.0, total / 1000 / k)
-        model.means = (p.T @ z + prior * start) / (mass + prior)[:, None]
-        square = p.T @ (z**2) - 2 * model.means * (p.T @ z) + model.means**2 * mass[:, None]
-        model.variances = (square + prior * 0.5) / (mass + prior)[:, None] + 0.02
-        model.weights = (mass + prior) / (mass + prior).sum()
-        score = float(mass.max())
-        if abs(score - last) < 1e-6 * total:
+        log = model.log_densities(z, scatter)
+        top = log.max(1, keepdims=True)
+        p = np.exp(log - top)
+        score = float((counts * (top[:, 0] + np.log(p.sum(1)))).sum() / total)
+        if abs(score - last) < 1e-4:
             break
         last = score
-    votes = model.responsibilities(start)
-    for c in range(k):
-        by_class = np.bincount(labels, votes[:, c], minlength=len(CLASSES))
-        nearest = labels[int((((start - model.means[c]) ** 2) / model.variances[c]).sum(1).argmin())]
-        model.classes[c] = int(by_class.argmax()) if by_class.max() > 0.05 else nearest
-    return model
-
-
-def folded(common: Sequence[str]) -> frozenset[str]:
-    return frozenset(fold(w) for w in common if w)
-
-
-def measured(df: DataFrame, doc_id: str, text: str, common: frozenset[str]) -> DataFrame:
-    """Units of every text (null as empty): ``doc_id, sizes, kinds, cells, stats``; written once, since the fit and the
-    verdict both need it. One row per input row; no shuffle but an even spread of a coarse scan."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for i, t in zip(pdf["doc_id"], pdf["text"]):
-                found = [unit_stats(u, common) for u in units(t, common)] if t else []
-                stats = np.array([f[1] for f in found], dtype=np.float64).reshape(-1, len(FEATURES))
-                out.append((i, [f[0] for f in found], [CLASSES.index(f[2]) for f in found], cell_code(stats).tolist(), stats.astype(np.float32).ravel().tolist()))
-            yield pd.DataFrame(out, columns=["doc_id", "sizes", "kinds", "cells", "stats"])
-
-    kind = dict(df.dtypes)[doc_id]
-    rows = spread(df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")))
-    schema = f"doc_id {kind}, sizes array<int>, kinds array<int>, cells array<bigint>, stats array<float>"
-    return persist_table(rows.mapInPandas(run, schema), "units")
-
-
-def fit_units(rows: DataFrame, common: frozenset[str]) -> Mixture:
+        r = p / p.sum(1, keepdims=True) * counts[:, None]
+        mass = r.sum(0) + 1e-9
+        model.weights, model.means = mass / mass.sum(), (r.T @ z) / mass[:, None]
+        covariances = np.empty((k, d, d))
+        for j in range(k):
+            c = z - model.means[j]
+            covariances[j] = ((c * r[:, j : j + 1]).T @ c + np.diag(r[:, j] @ scatter) + prior * 0.2 * np.eye(d)) / (mass[j] + prior) + floor * np.eye(d)
+        model.set_covariances(covariances)
+    return score, model.weights, model.means, covariances
+
+
+def name_components(model: Mixture, stats: np.ndarray, labels: np.ndarray) -> None:
+    """Give every component the class of the inspected examples that it answers for. An example counts the more the
+    better the component fits it, and each class votes with the same total. A component without a vote takes the class
+    of the example that fits it best."""
+    z = (stats - model.centre) / model.scale
+    log = model.log_densities(z)
+    fit = np.exp((log - np.log(model.weights + 1e-300) - model.log_dets) / z.shape[1])
+    votes = model.responsibilities(z) * fit
+    by_class = np.stack([votes[labels == c].sum(0) / max(1, (labels == c).sum()) for c in range(len(CLASSES))], axis=1)
+    model.classes = np.where(votes.sum(0) >= 0.05, by_class.argmax(1), labels[log.argmax(0)])
+
+
+def labelled_units(common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics and class numbers of the units of :data:`EXAMPLES`."""
+    row, _, stats = unit_statistics(pa.array([t for _, t in EXAMPLES]), common)
+    return stats, np.array([CLASSES.index(c) for c, _ in EXAMPLES])[row]
+
+
+def measured(rows: DataFrame, common: np.ndarray) -> DataFrame:
+    """``doc_id, sizes, stats`` of every text: the visible characters (int32) and the statistics (float32) of its units as
+    two packed binaries. Written once, since the fit and the verdict both need them. One row per input row, no shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, size, stats = unit_statistics(batch.column("text"), common)
+            ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=batch.num_rows)))).astype(np.int32)
+            packed = [
+                pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends * np.int32(wide)), pa.py_buffer(x)])
+                for wide, x in ((4, size.astype(np.int32)), (4 * len(FEATURES), np.ascontiguousarray(stats, dtype=np.float32)))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *packed], names=["doc_id", "sizes", "stats"])
+
+    return persist_table(rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, sizes binary, stats binary"), "units")
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row number, visible characters and statistics of the units of a batch of :func:`measured`."""
+    sizes = batch.column("sizes")
+    row = np.repeat(np.arange(len(sizes)), pc.binary_length(sizes).to_numpy() // 4)
+    whole = lambda c, kind: np.frombuffer(b"".join(batch.column(c).to_pylist()), kind)
+    return row, whole("sizes", np.int32).astype(float), whole("stats", np.float32).reshape(-1, len(FEATURES)).astype(float)
+
+
+def unit_cells(units: DataFrame) -> DataFrame:
+    """Units of all texts counted on the grid, with sums and sums of squares of their statistics. A batch is counted
+    before the shuffle, which carries one row per batch and occupied cell."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, _, stats = _unpacked(batch)
+            if not len(stats):
+                continue
+            cell, index, n = np.unique(grid_cells(stats), return_inverse=True, return_counts=True)
+            sums = [np.bincount(index, x, len(cell)) for x in (*stats.T, *(stats**2).T)]
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n), *[pa.array(x) for x in sums]], names=["cell", "n", *moments])
+
+    moments = [f"{kind}{i}" for kind in "sq" for i in range(len(FEATURES))]
+    counted = units.select("sizes", "stats").mapInArrow(count, "cell bigint, n bigint, " + ", ".join(f"{m} double" for m in moments))
+    return counted.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("n", *moments)])
+
+
+def fit_units(units: DataFrame, common: np.ndarray) -> Mixture:
     """Fit over all units; the driver receives one row per occupied grid cell."""
-    n = len(FEATURES)
-    each = (
-        rows.where(F.size("cells") > 0)
-        .select(F.posexplode("cells").alias("i", "cell"), "stats")
-        .select("cell", *[F.get("stats", F.col("i") * n + j).cast("double").alias(f"s{j}") for j in range(n)])
-    )
-    cells = each.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"s{j}").alias(f"s{j}") for j in range(n)]).orderBy("cell").toPandas()
-    found = [(CLASSES.index(c), unit_stats(t, common)[1]) for c, t in EXAMPLES]
-    examples = np.array([s for _, s in found])
+    cells = unit_cells(units).orderBy("cell").toPandas().to_numpy(float)
+    stats, labels = labelled_units(common)
     if not len(cells):
-        cells = pd.DataFrame([[0, 1.0, *examples.mean(0)]], columns=["cell", "n", *[f"s{j}" for j in range(n)]])
-    return fit_mixture(cells["n"].to_numpy(float), cells[[f"s{j}" for j in range(n)]].to_numpy(float), examples, [c for c, _ in found])
+        cells = np.concatenate(([0, len(stats)], stats.sum(0), (stats**2).sum(0)))[None]
+    d = len(FEATURES)
+    model = fit_mixture(cells[:, 1], cells[:, 2 : 2 + d], cells[:, 2 + d :])
+    name_components(model, stats, labels)
+    return model
 
 
 def document_classes(df: DataFrame, doc_id: str, text: str, common_words: Sequence[str]) -> DataFrame:
-    """Per document: ``n_visible`` characters and, by mixture, the shares of prose, list, table and junk, with
-    ``exact_other``, the share of other than prose by the written rules. Shares are null for texts that show nothing.
-    Rows map one to one; ids may repeat or be null."""
-    common = folded(common_words)
-    rows = measured(df, doc_id, text, common)
-    model = fit_units(rows, common)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            lengths = pdf["sizes"].map(len).to_numpy()
-            stats = np.concatenate([np.asarray(s, dtype=np.float64) for s in pdf["stats"]] or [np.zeros(0)]).reshape(-1, len(FEATURES))
-            sizes = np.concatenate([np.asarray(s, dtype=np.float64) for s in pdf["sizes"]] or [np.zeros(0)])
-            kinds = np.concatenate([np.asarray(s, dtype=np.int64) for s in pdf["kinds"]] or [np.zeros(0, int)])
-            at = np.repeat(np.arange(len(pdf)), lengths)
-            total = np.bincount(at, sizes, minlength=len(pdf))
-            shares = model.class_shares(stats) if len(stats) else np.zeros((0, len(CLASSES)))
+    """Per document: ``n_visible`` characters and the shares of prose, list, table and junk among them, by the mixture.
+    Shares are null for texts that show nothing. Rows map one to one; ids may repeat or be null."""
+    common = common_hashes(common_words)
+    units = measured(spread(df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))), common)
+    model = fit_units(units, common)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, size, stats = _unpacked(batch)
+            shares = model.class_shares(stats) * size[:, None]
+            total = np.bincount(row, size, batch.num_rows)
             with np.errstate(invalid="ignore", divide="ignore"):
-                out = {f"{c}_share": np.bincount(at, sizes * shares[:, i], minlength=len(pdf)) / total for i, c in enumerate(CLASSES)}
-                out["exact_other"] = np.bincount(at, sizes * (kinds != 0), minlength=len(pdf)) / total
-            frame = pd.DataFrame({c: pd.Series(v, dtype=object).where(total > 0, None) for c, v in out.items()})
-            frame.insert(0, "doc_id", pdf["doc_id"].to_numpy())
-            frame.insert(1, "n_visible", total.astype(np.int64))
-            yield frame
+                columns = [np.bincount(row, x, batch.num_rows) / total for x in shares.T]
+            shown = [pa.array(x, mask=total == 0) for x in columns]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(total.astype(np.int64)), *shown], names=["doc_id", "n_visible", *names])
 
-    kind = dict(rows.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n_visible bigint, " + ", ".join(f"{c}_share double" for c in CLASSES) + ", exact_other double"
-    return rows.mapInPandas(run, schema)
+    names = [f"{c}_share" for c in CLASSES]
+    return units.mapInArrow(judge, f"doc_id {dict(units.dtypes)['doc_id']}, n_visible bigint, " + ", ".join(f"{c} double" for c in names))
 
 
-def not_prose(classes: DataFrame, candidate: float = 0.30, limit: float = 0.50) -> DataFrame:
-    """Documents of which the mixture sees at least ``candidate`` as other than prose and the exact check more than ``limit``."""
-    return classes.where((1 - F.col("prose_share") >= candidate) & (F.col("exact_other") > limit))
+def not_prose(classes: DataFrame, limit: float = 0.50) -> DataFrame:
+    """Documents of which the mixture sees more than ``limit`` as other than prose."""
+    return classes.where(1 - F.col("prose_share") > limit)
 
 
 def text_statistics(df: DataFrame, doc_id: str, text: str, common_words: Sequence[str]) -> DataFrame:
