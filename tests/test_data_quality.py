@@ -74,10 +74,53 @@ def test_profile_keeps_null_loads(spark):
 
 
 def test_area_of_separate_and_equal_sides():
-    frame = pd.DataFrame({"c_x": ["Va", "Vb"], "a0": [100, 0], "a1": [100, 0], "b0": [0, 100], "b1": [0, 100]})
-    assert profile.cross_fitted(frame, ["c_x"]) == pytest.approx(1.0)
-    frame[["a0", "a1", "b0", "b1"]] = 50
-    assert profile.cross_fitted(frame, ["c_x"]) == pytest.approx(0.5)
+    assert profile.area_under(np.array([0, 0, 9.0]), np.array([5.0, 0, 0])) == 1
+    assert profile.area_under(np.array([1.0, 2, 3]), np.array([2.0, 4, 6])) == pytest.approx(0.5)
+    assert profile.area_under(np.zeros(3), np.ones(3)) == 0.5
+
+
+def test_classifier_points_at_the_changed_column(spark):
+    """Each changed load is told from its peers, by the column that changed; the others hardly are."""
+    df = loads(spark, {2: CHANGES[2], 3: CHANGES[3], 9: CHANGES[9]})
+    rows = profile.quality_profile(df, period="day", source="src", row_id="id", columns=COLUMNS).collect()
+    found = {(r.day, r.col_name): r for r in rows}
+    for day, column in ((2, "v"), (3, "c"), (9, "i")):
+        assert found[day, column].area_alone > 0.6 and found[day, column].pointed and found[day, column]["rank"] == 1
+    assert all(0.4 < r.area < 0.7 for r in rows if r.day not in (2, 3, 9))
+
+
+def test_models_are_the_same_in_one_task_and_in_many(spark):
+    df = loads(spark, CHANGES)
+    cells = profile.pooled_cells(df, "day", "src", "id", COLUMNS)
+    one, many = (profile.TwoSample(x, COLUMNS, rounds=3) for x in (cells.coalesce(1), cells.repartition(7)))
+    for t in (one, many):
+        t.train()
+    s = next(iter(one.weights))
+    assert np.allclose(one.weights[s], many.weights[s])
+    # against plain gradient descent on the same cells of one load and fold
+    load, rows = 3, cells.collect()
+    own = np.array([sum(x.n0 for x in r.loads if x["_load"] == one.loads[s][load]) for r in rows])
+    peers = (np.array([r.pool0 for r in rows]) - own) * one.scales[s][load][0]
+    hot = np.zeros((len(rows), int(one.starts[-1])))
+    for k, r in enumerate(rows):
+        hot[k, np.array(r.codes) + one.starts[:-1]] = 1
+    beta = np.zeros(hot.shape[1])
+    for _ in range(2000):
+        p = 1 / (1 + np.exp(-hot @ beta))
+        beta += 0.01 * (hot.T @ (own - (own + peers) * p) - beta)
+    done = profile.TwoSample(cells, COLUMNS, rounds=60)
+    done.train()
+    assert np.abs(hot @ (done.weights[s][0, load] - beta)).max() < 0.1
+
+
+def test_shift_of_a_load_with_nearly_all_rows(spark):
+    """97 % of the rows of a source are one load's: it is no peer of its own."""
+    rows = [(k, 1, "A", 1000.0 + k % 7, "VND", 1) for k in range(20_000)]
+    rows += [(100_000 * day + k, day, "A", 10.0 + k % 7, "VND", 1) for day in (2, 3, 4) for k in range(200)]
+    df = spark.createDataFrame(rows, "id bigint, day int, src string, v double, c string, i int")
+    p = profile.quality_profile(df, period="day", source="src", row_id="id", columns=COLUMNS)
+    found = {(r.day, r.col_name): r for r in p.collect()}
+    assert found[1, "v"].issues == ["distinct", "shift"] and found[1, "v"].area_alone > 0.9 and found[1, "v"].pointed
 
 
 def test_shift_of_a_median_near_half_zeros(spark):
