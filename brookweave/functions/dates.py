@@ -8,11 +8,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The formats tried for a date of unknown form, in this order (day first where both readings are possible).
+#: The formats tried for a date of unknown form, in this order. None is the default reading of a date.
 DATE_FORMATS = (
-    "yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "yyyy/MM/dd", "dd-MM-yyyy", "MM-dd-yyyy", "dd/MM/yy", "MM/dd/yy",
-    "dd-MM-yy", "MM-dd-yy", "yyyyMMdd", "ddMMyyyy", "yyMMdd", "ddMMyy",
-)
+    None,
+    "dd/MM/yyyy",
+    "MM/dd/yyyy",
+    "yyyy/MM/dd",
+    "dd-MM-yyyy",
+    "MM-dd-yyyy",
+    "yyyy-MM-dd",
+    "dd/MM/yy",
+    "MM/dd/yy",
+    "dd-MM-yy",
+    "MM-dd-yy",
+    "yyyyMMdd",
+    "ddMMyyyy",
+    "yyMMdd",
+    "ddMMyy",
+)
+#: Texts that the default reading takes: a year of four digits, perhaps a month and a day, perhaps a time after the day.
+ISO_DATE = r"^\s*\d{4}(?:-\d{1,2}(?:-\d{1,2}(?:[T ].*)?)?)?\s*\z"
 #: The end of an open period.
 OPEN_DATE, OPEN_EPOCH = "3000-11-08", 32530525200
 
@@ -31,11 +46,14 @@ def shape(fmt: str) -> str | None:
     return rf"^{out}\z"
 
 
-def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def parse_date(c: Column, formats: Sequence[str | None] = DATE_FORMATS) -> Column:
     """The first format that reads the text. A format is tried only on texts of its shape: a failed attempt costs an
     exception, a pattern does not."""
     tried = []
     for f in formats:
+        if f is None:
+            tried.append(F.when(c.rlike(ISO_DATE), c.try_cast("date")))
+            continue
         read = F.try_to_timestamp(c, F.lit(f)).cast("date")
         tried.append(F.when(c.rlike(shape(f)), read) if shape(f) else read)
     return F.coalesce(*tried)
@@ -45,6 +63,11 @@ def parse_time(c: Column, formats: Sequence[str | None]) -> Column:
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) if f else F.try_to_timestamp(c) for f in formats])
 
 
+def date_digits(c: Column, fmt: str | None = None) -> Column:
+    """The date as yyyyMMdd, read by the format or, without one, by the first that fits."""
+    return F.date_format(parse_date(c, [fmt] if fmt else DATE_FORMATS), "yyyyMMdd")
+
+
 def in_zone(c: Column, zone: str) -> Column:
     """An instant from a wall-clock timestamp read in ``zone`` (whatever the session's zone is)."""
     return F.to_utc_timestamp(c, zone)

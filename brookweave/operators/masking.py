@@ -82,6 +82,28 @@ def mask_value(key: bytes, text: str | None, back: bool = False) -> str | None:
     return None if text is None else RUN.sub(one, text)
 
 
+def mask_number(key: bytes, number: int, top: int, back: bool = False) -> int:
+    """A permutation of the numbers of one sign and count of digits up to ``top``: the digits are permuted again until
+    they are such a number, so every number has a mask of its kind and can be restored."""
+    size, digits = abs(number), str(abs(number))
+    low = 10 ** (len(digits) - 1) if len(digits) > 1 else int(number < 0)
+    high = min(10 ** len(digits) - 1, top + (number < 0))
+    while True:
+        size = int("".join(map(str, permute(key, [int(c) for c in str(size).zfill(len(digits))], 10, back))))
+        if low <= size <= high:
+            return -size if number < 0 else size
+
+
+def mask_decimal(key: bytes, text: str, scale: int, back: bool = False) -> str:
+    """As :func:`mask_number`, on the digits without the point."""
+    masked = mask_number(key, int(text.replace(".", "")), 10**38, back)
+    digits = str(abs(masked)).zfill(scale + 1)
+    return ("-" if masked < 0 else "") + (digits[:-scale] + "." + digits[-scale:] if scale else digits)
+
+
+TOPS = {"int": 2**31 - 1, "bigint": 2**63 - 1}
+
+
 #: Recognised shapes of phone numbers: the matched head stays, the rest is masked.
 PHONE_HEADS = (
     re.compile(r"^\(\+[0-9]{2}\)\s?\([0-9]{2,3}\)"),
@@ -102,6 +124,27 @@ def mask_phone_value(key: bytes, text: str | None) -> str | None:
     return text[:head] + mask_value(key, text[head:])
 
 
+def keep_first(key: bytes, text: str | None, pattern: str) -> str | None:
+    """Where the text begins with the pattern, that part stays and the rest is masked; any other text is masked wholly."""
+    if text is None:
+        return None
+    m = re.match(pattern, text)
+    return text[: m.end()] + mask_value(key, text[m.end() :]) if m else mask_value(key, text)
+
+
+def keep_last(key: bytes, text: str | None, pattern: str) -> str | None:
+    """Where the text begins with the pattern, that part is masked and the rest stays; any other text is masked wholly."""
+    if text is None:
+        return None
+    m = re.match(pattern, text)
+    return mask_value(key, m.group(0)) + text[m.end() :] if m else mask_value(key, text)
+
+
+def mask_words(key: bytes, text: str | None) -> str | None:
+    """Word by word, with one blank between words."""
+    return None if text is None else " ".join(mask_value(key, w) for w in text.split())
+
+
 def mask_email_value(key: bytes, text: str | None) -> str | None:
     """Masks what stands before the first @ and keeps the rest; without @ all is masked."""
     if text is None:
@@ -151,12 +194,19 @@ def _secret(key: str | bytes | None) -> bytes:
     return key.encode() if isinstance(key, str) else key
 
 
-def _masked(df: DataFrame, names: Sequence[str], f: Callable[[str | None], str | None]) -> DataFrame:
+def _masked(df: DataFrame, names: Sequence[str], f: Callable[[str | None], str | None], numbers: tuple[bytes, bool] | None = None) -> DataFrame:
+    """``numbers``: key and direction by which columns of numbers keep to their range; without it they go by their text."""
     text, items = _udf(f), _array_udf(f)
     out: dict[str, Column] = {}
     for name in names:
         kind = type_of(df, name)
-        if kind in ("string", "int", "bigint") or kind.startswith("decimal"):
+        if numbers and kind in TOPS:
+            out[name] = _udf(lambda v, top=TOPS[kind]: v if v is None else str(mask_number(numbers[0], int(v), top, numbers[1])))(col(name).cast("string")).cast(kind)
+        elif numbers and kind.startswith("decimal"):
+            scale = int(kind.rstrip(")").split(",")[1])
+            plain = F.format_string(f"%.{scale}f", col(name))  # never in exponents
+            out[name] = _udf(lambda v, s=scale: v if v is None else mask_decimal(numbers[0], v, s, numbers[1]))(F.when(col(name).isNotNull(), plain)).cast(kind)
+        elif kind in ("string", "int", "bigint") or kind.startswith("decimal"):
             out[name] = text(col(name).cast("string")).try_cast(kind)
         elif kind == "array<string>":
             out[name] = items(col(name))
@@ -168,9 +218,10 @@ def _masked(df: DataFrame, names: Sequence[str], f: Callable[[str | None], str |
 
 @operator("create_mask_pii_df")
 def mask_pii(df: DataFrame, column_patterns: Sequence[str], key: str | bytes | None = None) -> DataFrame:
-    """Masks text, whole numbers, decimals, arrays of text and maps with text keys; columns of other types are left."""
+    """Masks text, whole numbers, decimals, arrays of text and maps with text keys; columns of other types are left.
+    A number keeps its sign, its count of digits and its type's range."""
     secret = _secret(key)
-    return _masked(df, pick(df, column_patterns), lambda v: mask_value(secret, v))
+    return _masked(df, pick(df, column_patterns), lambda v: mask_value(secret, v), (secret, False))
 
 
 @operator("create_mask_pii_df_with_condition")
@@ -204,8 +255,27 @@ def fpe_mask_datetime(df: DataFrame, column_patterns: Sequence[str], datetime_fo
     return _masked(df, pick(df, column_patterns), lambda v: mask_date_value(secret, v, datetime_format))
 
 
+@operator()
+def fpe_mask_pattern(
+    df: DataFrame, column_patterns: Sequence[str], pattern: str, keep: str = "last", key: str | bytes | None = None
+) -> DataFrame:
+    """Masks what the pattern finds at the start (``keep="last"``) or what follows it (``keep="first"``)."""
+    secret = _secret(key)
+    if keep not in ("first", "last"):
+        raise ValueError(f"keep is first or last, not {keep}")
+    one = keep_first if keep == "first" else keep_last
+    return _masked(df, pick(df, column_patterns), lambda v: one(secret, v, pattern))
+
+
+@operator()
+def fpe_mask_words(df: DataFrame, column_patterns: Sequence[str], key: str | bytes | None = None) -> DataFrame:
+    """Masks texts word by word; outer and repeated white space goes."""
+    secret = _secret(key)
+    return _masked(df, pick(df, column_patterns), lambda v: mask_words(secret, v))
+
+
 @operator()
 def unmask_pii(df: DataFrame, column_patterns: Sequence[str], key: str | bytes | None = None) -> DataFrame:
     """Restores what :func:`mask_pii` made."""
     secret = _secret(key)
-    return _masked(df, pick(df, column_patterns), lambda v: mask_value(secret, v, back=True))
+    return _masked(df, pick(df, column_patterns), lambda v: mask_value(secret, v, back=True), (secret, True))

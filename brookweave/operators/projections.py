@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Mapping, Sequence
+from string import ascii_lowercase, ascii_uppercase
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -20,14 +21,26 @@ METHODS = frozenset(
 FUNCTIONS = frozenset(
     "col lit expr when coalesce upper lower trim concat concat_ws to_date date_format current_date substring regexp_replace split element_at sha2 md5 round abs length cast".split()
 )
+CAPITALS, SMALL = frozenset(ascii_uppercase), frozenset(ascii_lowercase)
 
 
 def snake(name: str) -> str:
-    """CamelCase and hyphens to snake_case; a run of capitals is one word."""
-    spaced = re.sub(r"[-\s]+", " ", name)
-    spaced = re.sub(r"([A-Z]+)", r" \1", spaced)
-    spaced = re.sub(r"([A-Z][a-z]+)", r" \1", spaced)
-    return "_".join(spaced.split()).lower()
+    """CamelCase, hyphens and blanks to snake_case.
+
+    A capital begins a word after anything but a capital, or where a small letter follows it: a run of capitals is one
+    word, whose last letter belongs to the next word if that goes on in small letters.
+    """
+    found = [""]
+    before = ""
+    for letter, after in zip(name, [*name[1:], ""]):
+        if letter == "-" or letter.isspace():
+            found.append("")
+        elif letter in ascii_uppercase and (before not in CAPITALS or after in SMALL):
+            found.append(letter)
+        else:
+            found[-1] += letter
+        before = letter
+    return "_".join(word for word in found if word).lower()
 
 
 @operator()

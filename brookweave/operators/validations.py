@@ -12,6 +12,8 @@ from brookweave.registry import operator, rule
 
 #: Simple address form: a local part, one @, a domain of at least two labels.
 EMAIL = r"^[A-Za-z0-9.!#$%&'*+/=?^_`{|}~-]+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z][A-Za-z0-9-]{0,61}[A-Za-z0-9]$"
+#: Any local part of letters, digits, blanks and the allowed signs; labels; the start of a top domain.
+ADDRESS = r"^(?:\([\w .+]+\) )?[\w !#$%&'*+/=?^`{|}~.]+@(?:\w+\.)+(?:[a-z]{2,24}|[0-9]{1,3})"
 
 
 def keep(df: DataFrame, conditions: Sequence[Column]) -> DataFrame:
@@ -59,16 +61,23 @@ def valid_customer_id(df: DataFrame, column_patterns: Sequence[str]) -> DataFram
 def valid_numeric(
     df: DataFrame, column_patterns: Sequence[str], min_value: float | None = None, max_value: float | None = None, is_mandatory: bool = False
 ) -> DataFrame:
+    """Values from ``min_value`` to ``max_value``. A text is compared by the number it reads as; one that reads as none is
+    no valid value."""
     if min_value is None and max_value is None:
         raise ValueError("valid_numeric needs min_value or max_value")
+    names = pick(df, column_patterns)
+    texts = {c for c in names if type_of(df, c) == "string"}
 
-    def inside(c: Column) -> Column:
+    def inside(name: str) -> Column:
+        c = col(name).try_cast("double") if name in texts else col(name)
         out = F.lit(True)
         if min_value is not None:
             out = out & (c >= min_value)
         return out & (c <= max_value) if max_value is not None else out
 
-    return check(df, pick(df, column_patterns), inside, is_mandatory)
+    if is_mandatory:
+        return keep(df, [inside(c) for c in names])
+    return df.withColumns({c: F.when(inside(c), col(c)) for c in names})
 
 
 @rule()
@@ -127,9 +136,10 @@ def validate_phone(df: DataFrame, column_name: str) -> DataFrame:
 
 @operator()
 def validate_email(df: DataFrame, column_name: str) -> DataFrame:
-    """Lower case with hyphens as underscores if that holds an address, else an empty text (null too)."""
+    """Lower case with hyphens as underscores if that is an address, with or without a name in parentheses before it;
+    else an empty text (null too). The top domain has 2 to 24 letters, or is the last part of a numeric address."""
     text = F.translate(F.lower(col(column_name)), "-", "_")
-    return df.withColumn(column_name, F.when(text.rlike(r"[a-z0-9_.+]+@[a-z0-9_]+\.[a-z0-9_.]+"), text).otherwise(""))
+    return df.withColumn(column_name, F.when(text.rlike(ADDRESS), text).otherwise(""))
 
 
 @operator()
@@ -139,6 +149,6 @@ def filter_partition_date(df: DataFrame, column_name: str, date: str) -> DataFra
 
 @operator()
 def drop_all_blank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Blank texts become null; rows in which all the columns are null go."""
-    df = df.withColumns({c: F.when(col(c) != "", col(c)) for c in columns})
+    """Empty texts become null; rows in which all the columns are null go. Columns of other types are only tested for null."""
+    df = df.withColumns({c: F.when(col(c) != "", col(c)) for c in columns if type_of(df, c) == "string"})
     return df.where(F.coalesce(*[col(c).cast("string") for c in columns]).isNotNull())

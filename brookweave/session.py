@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -16,13 +17,18 @@ _OWN: dict[str, str] = {}
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder that every executor shares.
 
-    It is the cluster's ``spark.checkpoint.dir``. Only where that setting is missing (tests, a laptop) a
-    temporary folder is made and registered with the context.
+    It is the cluster's ``spark.checkpoint.dir``, or the directory that was set on the context. Where both are missing
+    and the master runs in this process (tests, a laptop), a temporary folder is made and registered with the context.
+    On several machines such a folder would be another one on each, so there it is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     app = spark.sparkContext.applicationId
+    if app not in _OWN and (held := spark.sparkContext.getCheckpointDir()):
+        return held.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="brookweave-")
         atexit.register(shutil.rmtree, _OWN[app], True)
