@@ -1,10 +1,14 @@
 """A change feed applied with deletion vectors.
 
-Table layout below one folder, all Parquet: ``data/v=N`` (images, never rewritten), ``index/v=N`` (key hash bucket,
-key, file, position of every image written by version N) and ``dv/v=N`` (the bitmaps in force as of version N: file,
-bucket of 32,768 positions, bitmap). Applying a batch locates the superseded rows through the index, sets their bits,
-and appends new images; a read filters positions by bit. Nothing is updated in place, so a task or an executor that
-is lost repeats its own files only, and a version counts once its ``dv`` folder is complete.
+Table layout below one folder, a part being what one attempt at a version writes: ``data/<part>`` (images, never
+rewritten), ``index/<part>/b=K`` (key, file and position of every image of the part, by hash bucket of the key),
+``dv/<part>`` (the bits that it sets: file, bucket of 32,768 positions, bitmap) and ``commits/N.json`` (keys, buckets,
+schema and the parts in force). A version counts once its commit exists; that is written last and in one piece, so what
+a failed attempt left is in no part in force, and another process that opens the folder finds the same table.
+
+Applying a batch reads the index of the buckets that the batch's keys fall into, the files that hold a superseded image,
+and nothing else. A read filters positions by bit. Nothing is updated in place, so a task or an executor that is lost
+repeats its own files only. :meth:`VectorTable.compact` writes the live images as a version that stands alone.
 
 An image is the foldable summary of all changes of a key seen so far. Every part of it is a maximum over changes
 ordered by (commit time, index, change id), so batches may come late, out of order or twice.
@@ -12,11 +16,17 @@ ordered by (commit time, index, change id), so batches may come late, out of ord
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from brookweave.session import persist_table
 
 BITS = 32768
 
@@ -63,32 +73,69 @@ def summarise(feed: DataFrame, spec: ChangeFeed) -> DataFrame:
     return acts.groupBy(*spec.keys).agg(F.max(reset).alias("_reset"), *[F.max(c).alias(f"_set_{f}") for f, c in sets.items()])
 
 
-@dataclass
 class VectorTable:
-    """A keyed table with deletion vectors below ``path`` (a folder that all executors share)."""
-
-    spark: SparkSession
-    path: str
-    keys: Sequence[str]
-    index_buckets: int = 64
-    version: int = 0
-    _schema: object = field(default=None, repr=False)
-
-    def _data(self) -> DataFrame:
-        at = [f"{self.path}/data/v={v}" for v in range(1, self.version + 1)]
-        return self.spark.read.schema(self._schema).parquet(*at).select(
+    """A keyed table with deletion vectors below ``path`` (a folder that all executors share). An existing table keeps its
+    own keys and buckets. One writer at a time: of two, the later commit fails."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (), index_buckets: int = 64):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.keys, self.index_buckets = list(keys), index_buckets
+        self.version, self.parts, self.schema = 0, [], None
+        self.refresh()
+
+    # storage
+
+    def _file(self, name: str) -> tuple[Any, Any]:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def refresh(self) -> None:
+        """Takes the state of the last commit."""
+        fs, folder = self._file("commits")
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        done = sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+        if done:
+            state = json.loads(self.spark.read.text(f"{self.path}/commits/{done[-1]}.json", wholetext=True).first()[0])
+            self.version, self.parts, self.keys = state["version"], state["parts"], state["keys"]
+            self.index_buckets, self.schema = state["buckets"], StructType.fromJson(state["schema"])
+
+    def _commit(self, version: int, parts: list[str], schema: StructType) -> None:
+        state = {"version": version, "parts": parts, "keys": self.keys, "buckets": self.index_buckets, "schema": json.loads(schema.json())}
+        fs, draft = self._file(f"commits/.{parts[-1]}.draft")
+        _, final = self._file(f"commits/{version}.json")
+        out = fs.create(draft, True)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        if fs.exists(final) or not fs.rename(draft, final):
+            raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
+        self.version, self.parts, self.schema = version, parts, schema
+
+    def _folders(self, kind: str) -> list[str]:
+        """Folders of a kind of the parts in force. The first part supersedes nothing."""
+        return [f"{self.path}/{kind}/{part}" for part in (self.parts[1:] if kind == "dv" else self.parts)]
+
+    # reading
+
+    def _images(self, at: Sequence[str]) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*at).select(
             "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")
         )
 
     def vectors(self) -> DataFrame | None:
-        return self.spark.read.parquet(f"{self.path}/dv/v={self.version}") if self.version > 1 else None
+        """The bits in force: ``file, bucket, bitmap``."""
+        at = self._folders("dv")
+        if not at:
+            return None
+        return self.spark.read.parquet(*at).groupBy("file", "bucket").agg(F.expr("bitmap_or_agg(bitmap)").alias("bitmap"))
 
     def _bucket_key(self) -> Column:
         return F.pmod(F.hash(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.index_buckets)).cast("int")
 
     def read(self) -> DataFrame:
         """The live images with ``_file`` and ``_at``: positions whose bit is set are filtered out."""
-        data, dv = self._data(), self.vectors()
+        if not self.version:
+            raise ValueError(f"no table at {self.path}")
+        data, dv = self._images(self._folders("data")), self.vectors()
         if dv is None:
             return data
         bits = dv.select(F.col("file").alias("_f"), F.col("bucket").alias("_b"), "bitmap")
@@ -98,43 +145,60 @@ class VectorTable:
         gone = F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(within, F.lit(8)))), F.lit(2)) == 1
         return data.join(bits, on, "left").where(~F.coalesce(gone, F.lit(False))).drop("_f", "_b", "bitmap")
 
-    def apply(self, images: DataFrame) -> None:
-        """Merge one image per key into the table as the next version. Null keys match each other."""
-        spark, v = self.spark, self.version + 1
-        self._schema = self._schema or images.schema
-        staged = f"{self.path}/staged/v={v}"
-        if self.version:
-            images.write.parquet(staged)
-            images = spark.read.schema(images.schema).parquet(staged)
-            index = spark.read.parquet(*[f"{self.path}/index/v={i}" for i in range(1, v)])
-            wanted = images.select(self._bucket_key().alias("_wb"), *[F.col(k).alias(f"_w_{k}") for k in self.keys])
-            on = F.col("_wb") == F.col("key_bucket")
-            for k in self.keys:
-                on = on & F.col(k).eqNullSafe(F.col(f"_w_{k}"))
-            located = index.join(wanted, on, "left_semi").select("file", "row")
-            live = self.read()
-            theirs = live.join(
-                located, (F.col("_file") == F.col("file")) & (F.col("_at") == F.col("row")), "left_semi"
-            ).drop("_file", "_at")
-            parts = [c for c in images.columns if c not in self.keys]
-            merged = images.unionByName(theirs).groupBy(*self.keys).agg(*[F.max(c).alias(c) for c in parts])
-            fresh = located.groupBy("file", F.expr(f"row div {BITS}").alias("bucket")).agg(
-                F.expr(f"bitmap_construct_agg(row % {BITS})").alias("bitmap")
-            )
-            old = self.vectors()
-            both = fresh if old is None else fresh.unionByName(old)
-            dv = both.groupBy("file", "bucket").agg(F.expr("bitmap_or_agg(bitmap)").alias("bitmap"))
-        else:
-            merged, dv = images, None
-        merged.select(*[f.name for f in self._schema.fields]).write.parquet(f"{self.path}/data/v={v}")
-        written = spark.read.schema(self._schema).parquet(f"{self.path}/data/v={v}")
+    # writing
+
+    def locate(self, images: DataFrame) -> DataFrame:
+        """Where the live images of the keys of ``images`` are: ``file, row``. Of a key the latest version counts. Only the
+        index of the keys' buckets is read."""
+        buckets = [r[0] for r in images.select(self._bucket_key()).distinct().collect()]  # at most ``index_buckets``
+        held = None
+        for v, folder in enumerate(self._folders("index")):
+            part = self.spark.read.schema(self._index_schema()).parquet(folder).where(F.col("b").isin(buckets))
+            part = part.select(*self.keys, "b", F.struct(F.lit(v).alias("v"), "file", "row").alias("_place"))
+            held = part if held is None else held.unionByName(part)
+        wanted = images.select(self._bucket_key().alias("_wb"), *[F.col(k).alias(f"_w_{k}") for k in self.keys])
+        on = F.col("_wb") == F.col("b")
+        for k in self.keys:
+            on = on & F.col(k).eqNullSafe(F.col(f"_w_{k}"))
+        places = held.join(wanted, on, "left_semi").groupBy(*self.keys).agg(F.max("_place").alias("_place"))
+        return places.select("_place.file", "_place.row")
+
+    def _index_schema(self) -> StructType:
+        keys = StructType([f for f in self.schema.fields if f.name in self.keys])
+        return keys.add("file", "string").add("row", "long").add("b", "integer")
+
+    def _write(self, images: DataFrame) -> str:
+        """Data of a new part, and its index in one file per bucket; returns the part's name."""
+        part = f"{self.version + 1}-{uuid.uuid4().hex[:12]}"
+        images.write.parquet(f"{self.path}/data/{part}")
+        written = self.spark.read.schema(images.schema).parquet(f"{self.path}/data/{part}")
         written.select(
-            self._bucket_key().alias("key_bucket"), *self.keys,
+            self._bucket_key().alias("b"), *self.keys,
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
-        ).write.parquet(f"{self.path}/index/v={v}")
-        if dv is not None:
-            dv.write.parquet(f"{self.path}/dv/v={v}")
-        self.version = v
+        ).repartition("b").write.partitionBy("b").parquet(f"{self.path}/index/{part}")
+        return part
+
+    def apply(self, images: DataFrame) -> None:
+        """Merge one image per key into the table as the next version. Null keys match each other."""
+        if not self.version:
+            self._commit(1, [self._write(images)], images.schema)
+            return
+        images = persist_table(images.select(*self.schema.names), "batch")
+        located = persist_table(self.locate(images), "located")
+        files = [r.file for r in located.select("file").distinct().collect()]  # names of files, not rows
+        merged = images
+        if files:
+            theirs = self._images(files).join(located, (F.col("_file") == F.col("file")) & (F.col("_at") == F.col("row")), "left_semi")
+            parts = [c for c in self.schema.names if c not in self.keys]
+            merged = images.unionByName(theirs.drop("_file", "_at")).groupBy(*self.keys).agg(*[F.max(c).alias(c) for c in parts])
+        part = self._write(merged.select(*self.schema.names))
+        fresh = located.groupBy("file", F.expr(f"row div {BITS}").alias("bucket")).agg(F.expr(f"bitmap_construct_agg(row % {BITS})").alias("bitmap"))
+        fresh.write.parquet(f"{self.path}/dv/{part}")
+        self._commit(self.version + 1, [*self.parts, part], self.schema)
+
+    def compact(self) -> None:
+        """The live images as one part that stands alone; earlier ones are no longer read."""
+        self._commit(self.version + 1, [self._write(self.read().select(*self.schema.names))], self.schema)
 
 
 def apply_feed(feed: DataFrame, spec: ChangeFeed, path: str, *, arrival: str, batches: int = 3) -> DataFrame:

@@ -328,6 +328,41 @@ def test_vectors_hide_superseded_positions(spark):
     assert table.vectors().agg(F.sum(F.expr("bitmap_count(bitmap)"))).first()[0] == 20
 
 
+def test_a_vector_table_is_found_again_by_another_process(spark):
+    path = scratch(spark, "dv")
+    rows = lambda a, b, v: spark.range(a, b).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    with pytest.raises(ValueError):
+        DV.VectorTable(spark, path, ["k"]).read()
+    DV.VectorTable(spark, path, ["k"]).apply(rows(0, 100, 1))
+    DV.VectorTable(spark, path).apply(rows(50, 120, 2))
+    again = DV.VectorTable(spark, path)
+    assert (again.version, again.keys) == (2, ["k"])
+    assert {(r.v, r["count"]) for r in again.read().groupBy("v").count().collect()} == {(1, 50), (2, 70)}
+    again._write(rows(0, 7, 9))  # an attempt that died before its commit
+    again.apply(rows(0, 10, 3))
+    again.apply(rows(0, 10, 3))  # a batch that is handed over twice
+    assert {(r.v, r["count"]) for r in DV.VectorTable(spark, path).read().groupBy("v").count().collect()} == {(1, 40), (2, 70), (3, 10)}
+    other = DV.VectorTable(spark, path)
+    again.compact()
+    assert again.vectors() is None and len(again.parts) == 1
+    assert {(r.v, r["count"]) for r in DV.VectorTable(spark, path).read().groupBy("v").count().collect()} == {(1, 40), (2, 70), (3, 10)}
+    with pytest.raises(RuntimeError):
+        other.apply(rows(0, 1, 4))
+    DV.VectorTable(spark, path).apply(rows(119, 121, 5))
+    assert DV.VectorTable(spark, path).read().count() == 121
+
+
+def test_a_small_batch_reads_only_the_files_it_supersedes(spark):
+    path = scratch(spark, "dv")
+    table = DV.VectorTable(spark, path, ["k"])
+    table.apply(spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v")).repartitionByRange(10, "k"))
+    batch = spark.createDataFrame([(3, 2), (5, 2)], "k bigint, v int")
+    places = table.locate(batch)
+    assert len({r.file for r in places.collect()}) == 1
+    scans = places._jdf.queryExecution().toString()
+    assert "PartitionFilters: [b" in scans.replace("isnotnull(b", "b") or "b#" in scans.split("PartitionFilters: [")[1].split("]")[0]
+
+
 # --- 6 ---------------------------------------------------------------------------------------------------------------
 
 
