@@ -139,17 +139,28 @@ def nested_children(spark: SparkSession, sf: str) -> DataFrame:
     return typed.unionByName(parsed).unionByName(maps)
 
 
+def child_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return flatten.write_subtypes(nested_children(spark, sf))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    return nested_children(spark, sf).drop("subtype")
+    return flatten.supertype(child_tables(spark, sf)).drop("subtype")
 
 
 def p6_subtypes(spark: SparkSession, sf: str) -> DataFrame:
-    return nested_children(spark, sf).groupBy("parent_table", "elem_path", "subtype").agg(
+    """Rows and parents of every subtype table by path."""
+    return flatten.supertype(child_tables(spark, sf)).groupBy("parent_table", "elem_path", "subtype").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("parent_id").alias("n_parents")
     )
 
 
+def p6_named(spark: SparkSession, sf: str) -> DataFrame:
+    """The typed table of named objects, its fields besides the name as JSON text."""
+    named = child_tables(spark, sf)["named"]
+    return named.select(*flatten.KEYS[:4], "name", F.to_json("fields").alias("fields"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_profile, p2_found, p3_found, p3_report, p3_composite, p4_found, p4_state, p5_found, p6_found, p6_subtypes)
+    for f in (p1_found, p1_profile, p2_found, p3_found, p3_report, p3_composite, p4_found, p4_state, p5_found, p6_found, p6_subtypes, p6_named)
 }

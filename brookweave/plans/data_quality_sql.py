@@ -142,3 +142,21 @@ _LISTS = """
       select rec_id, case when json_type(info_json, '$.info') = 'OBJECT' then json_extract(info_json, '$.info') else info_json::json end r
       from moviedata where info is null and info_json is not null and json_valid(info_json)), (values ('actors'), ('genres')) t(f))))"""
 SQL["p6_found"] = f"select * replace (regexp_replace(elem_text, '^\\s+|\\s+$', '', 'g') as elem_text) from ({_LISTS}) where regexp_replace(elem_text, '\\s', '', 'g') <> ''"
+
+#: As _LISTS, with the kind of every element; an object counts by its name, if that is no object or list itself.
+_TYPED = """
+  select 'ds1_job' parent_table, ds_row_id parent_id, 'info_detail.' || e.key elem_path, e.value elem_text, 'entry' subtype
+  from (select ds_row_id, unnest(map_entries(m)) e from (select ds_row_id, unnest(info_detail) m from ds1_job))
+  union all
+  select 'moviedata', rec_id, path, v, 'text' from (select rec_id, 'info.actors' path, unnest(info.actors) v from moviedata
+    union all select rec_id, 'info.genres', unnest(info.genres) from moviedata)
+  union all
+  select 'moviedata', rec_id, path, case json_type(y) when 'OBJECT' then y ->> '$.name' else y ->> '$' end,
+    case json_type(y) when 'VARCHAR' then 'text' when 'OBJECT' then 'named' else 'scalar' end
+  from (select rec_id, 'info.' || f path, unnest(case json_type(x) when 'ARRAY' then json_extract(x, '$[*]') else [x] end) y
+    from (select rec_id, f, json_extract(r, '$.' || f) x from (
+      select rec_id, case when json_type(info_json, '$.info') = 'OBJECT' then json_extract(info_json, '$.info') else info_json::json end r
+      from moviedata where info is null and info_json is not null and json_valid(info_json)), (values ('actors'), ('genres')) t(f)))
+  where json_type(y) not in ('NULL', 'ARRAY') and (json_type(y) <> 'OBJECT' or json_type(y, '$.name') not in ('NULL', 'OBJECT', 'ARRAY'))"""
+SQL["p6_subtypes"] = f"""select parent_table, elem_path, subtype, count(*) n_rows, count(distinct parent_id) n_parents from ({_TYPED})
+  where regexp_replace(elem_text, '\\s', '', 'g') <> '' group by all"""

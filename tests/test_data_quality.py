@@ -366,24 +366,46 @@ def test_a_small_batch_reads_only_the_files_it_supersedes(spark):
 # --- 6 ---------------------------------------------------------------------------------------------------------------
 
 
+def super_rows(routed):
+    return flatten.supertype({name: flatten.subtype_table(routed, name) for name in flatten.SUBTYPES}).collect()
+
+
 def test_flatten_json_variants(spark):
     docs = [
         (1, '{"a": ["x", " y ", null, "", {"name": "z"}, 5]}'), (2, '{"info": {"a": "solo", "b": [{"name": " n "}, {"role": "r"}, null]}}'),
         (3, '{"a": ["x"'), (4, '{"a": ["x"]} tail'), (5, None), (6, "[1, 2]"), (7, '{"a": null, "b": {"name": "obj"}}'), (8, '{"a": [["deep"]], "b": []}'), (9, ""), (10, '{"info": null, "a": ["q"]}'),
+        (11, '{"a": [{"name": {"first": "q"}}, {"name": ["l"]}, {"name": " "}, {"name": 7}], "b": [1.5, true]}'),
     ]
     df = spark.createDataFrame(docs, "id int, j string").select("id", flatten.parse_strict(F.col("j")).alias("d"))
-    rows = flatten.flatten_variant_lists(df, parent="t", row_id="id", document=F.col("d"), wrapper="info", paths=("a", "b")).collect()
-    assert {(r.parent_id, r.elem_path, r.elem_pos, r.elem_text) for r in rows} == {
-        (1, "info.a", 0, "x"), (1, "info.a", 1, "y"), (1, "info.a", 4, "z"), (1, "info.a", 5, "5"),
-        (2, "info.a", 0, "solo"), (2, "info.b", 0, "n"), (7, "info.b", 0, "obj"), (10, "info.a", 0, "q"),
+    routed = flatten.flatten_variant_lists(df, parent="t", row_id="id", document=F.col("d"), wrapper="info", paths=("a", "b"))
+    assert {(r.parent_id, r.elem_path, r.elem_pos, r.elem_text, r.subtype) for r in super_rows(routed)} == {
+        (1, "info.a", 0, "x", "text"), (1, "info.a", 1, "y", "text"), (1, "info.a", 4, "z", "named"), (1, "info.a", 5, "5", "scalar"),
+        (2, "info.a", 0, "solo", "text"), (2, "info.b", 0, "n", "named"), (7, "info.b", 0, "obj", "named"), (10, "info.a", 0, "q", "text"),
+        (11, "info.a", 3, "7", "named"), (11, "info.b", 0, "1.5", "scalar"), (11, "info.b", 1, "true", "scalar"),
+    }
+    shapes = {(r.parent_id, r.elem_path): r["shape"] for r in routed.collect()}
+    assert shapes[1, "info.a"] == "mixed_list" and shapes[2, "info.a"] == "single" and shapes[2, "info.b"] == "mixed_list" and shapes[10, "info.a"] == "text_list"
+    tables = flatten.write_subtypes(routed)
+    assert tables["named"].dtypes[-2:] == [("name", "string"), ("fields", "map<string,string>")]
+    assert tables["scalar"].dtypes[-1] == ("scalar_number", "double")
+    assert {(r.scalar_type, r.scalar_number) for r in tables["scalar"].collect()} == {("BIGINT", 5.0), ("DECIMAL", 1.5), ("BOOLEAN", 1.0)}
+    assert {(r.parent_id, r.elem_pos, tuple(sorted(r.fields.items()))) for r in tables["object"].collect()} >= {(2, 1, (("role", "r"),))}
+
+
+def test_automaton_states(spark):
+    cases = {
+        "null": "null", '" "': "blank", '"a"': "text", "3": "scalar", "false": "scalar", '{"name": "x"}': "named", '{"name": []}': "object", "{}": "object",
+        "[]": "list<>", '["a", null, "b", 2]': "list<null|scalar|text>", '[["a"], [{"name": 1}], []]': "list<list<>|list<named>|list<text>>",
+        '[[[["a"]]]]': "list<list<list<list>>>",
     }
-    assert {(r.parent_id, r.elem_path, r.subtype) for r in rows} >= {(1, "info.a", "mixed_list"), (2, "info.a", "single_text"), (2, "info.b", "named_list")}
+    df = spark.createDataFrame(list(cases.items()), "j string, want string").withColumn("got", flatten.node_state(F.parse_json("j")))
+    assert [(r.j, r.got) for r in df.collect() if r.got != r.want] == []
 
 
 def test_flatten_json_with_repeated_keys(spark):
     docs = [(1, '{"a": ["x"], "rank": 1, "rank": 2}'), (2, '{"info": {"a": ["x"], "a": ["y", "z"]}}'), (3, '{"a": [{"name": "p", "name": "q"}]}'), (4, '{"a": ["x"], "a": ["y"]} tail'), (5, '1, "v": {"a": ["x"]}'), (6, '1}, {"v": {"a": ["x"]}')]
     df = spark.createDataFrame(docs, "id int, j string").select("id", flatten.parse_strict(F.col("j")).alias("d"))
-    rows = flatten.flatten_variant_lists(df, parent="t", row_id="id", document=F.col("d"), wrapper="info", paths=("a",)).collect()
+    rows = super_rows(flatten.flatten_variant_lists(df, parent="t", row_id="id", document=F.col("d"), wrapper="info", paths=("a",)))
     assert {(r.parent_id, r.elem_pos, r.elem_text) for r in rows} == {(1, 0, "x"), (2, 0, "y"), (2, 1, "z"), (3, 0, "q")}
 
 
@@ -391,9 +413,11 @@ def test_flatten_maps_and_structs(spark):
     df = spark.createDataFrame(
         [(1, [{"k": "v", "n": None}, None, {"k": " "}, {"m": " w "}]), (2, []), (3, None)], "id int, m array<map<string,string>>"
     )
-    got = {(r.parent_id, r.elem_path, r.elem_pos, r.elem_text, r.subtype) for r in flatten.flatten_map_list(df, parent="t", row_id="id", column="m").collect()}
-    assert got == {(1, "m.k", 0, "v", "ragged_maps"), (1, "m.m", 3, "w", "ragged_maps")}
+    routed = flatten.flatten_map_list(df, parent="t", row_id="id", column="m")
+    assert {(r.parent_id, r.elem_path, r.elem_pos, r.elem_text) for r in super_rows(routed)} == {(1, "m.k", 0, "v"), (1, "m.m", 3, "w")}
+    assert {r["shape"] for r in routed.collect()} == {"ragged_maps"}
     s = spark.createDataFrame([(1, (["a", None, " ", "b"], [])), (2, None)], "id int, info struct<x:array<string>,y:array<string>>")
     rows = flatten.flatten_struct_lists(s, parent="t", row_id="id", record="info", paths=("x", "y"))
-    assert {(r.parent_id, r.elem_path, r.elem_pos, r.elem_text) for r in rows.collect()} == {(1, "info.x", 0, "a"), (1, "info.x", 3, "b")}
-    assert flatten.subtype_table(rows, "text_list").columns == ["parent_table", "parent_id", "elem_path", "elem_pos", "elem_text"]
+    assert {(r.parent_id, r.elem_path, r.elem_pos, r.elem_text) for r in super_rows(rows)} == {(1, "info.x", 0, "a"), (1, "info.x", 3, "b")}
+    assert flatten.subtype_table(rows, "text").columns == [*flatten.KEYS, "text_value"]
+    assert all(t.count() == 0 for t in flatten.write_subtypes(rows.where("false")).values())
