@@ -254,6 +254,43 @@ def test_orphans_by_mask(spark):
         orphans.Reference("t", parents, ["p"], ["x", "y"])
 
 
+@pytest.mark.parametrize("match", ["simple", "partial", "full"])
+def test_composite_references_against_a_loop(spark, match):
+    """Planted partial nulls in three columns, on both sides, with lives."""
+    rng = random.Random(12)
+    value = lambda: rng.choice(["a", " A", "b", "c", None, ""])
+    t = lambda d: dt.datetime(2024, 1, d)
+    parents = [(value(), value(), value(), t(rng.randrange(1, 12)), rng.choice([None, t(rng.randrange(12, 28))]), rng.randrange(2)) for _ in range(25)]
+    rows = [(k, rng.choice([20240105, 20240120, None]), value(), value(), value()) for k in range(400)]
+    fold = lambda x: (x or "").strip().upper() or None
+    want = set()
+    for k, day, *parts in rows:
+        parts = [fold(x) for x in parts]
+        mask = [i for i, x in enumerate(parts) if x is not None]
+        if not mask or (match == "simple" and len(mask) < 3):
+            continue
+        if match == "full" and len(mask) < 3:
+            want.add((k, "missing"))
+            continue
+        met = [p for p in parents if all(fold(p[i]) == parts[i] for i in mask)]
+        if not met:
+            want.add((k, "missing"))
+            continue
+        if day is None:
+            continue
+        number = lambda x: x.year * 10000 + x.month * 100 + x.day
+        closes = max(number(p[4]) if p[5] == 0 and p[4] else 99991231 for p in met)
+        if min(number(p[3]) for p in met) > day:
+            want.add((k, "late"))
+        elif closes <= day:
+            want.add((k, "deleted"))
+    left = spark.createDataFrame(rows, "id int, day int, x string, y string, z string")
+    right = spark.createDataFrame(parents, "x string, y string, z string, i timestamp, u timestamp, s int")
+    ref = orphans.Reference("t", right, ["x", "y", "z"], ["x", "y", "z"], match, opened="i", closed="u", live="s")
+    found = orphans.orphan_references(left, "id", "day", [ref])
+    assert {(r._row, r.ref_reason) for r in found.collect()} == want and want
+
+
 def test_orphan_reasons(spark):
     t = lambda d: dt.datetime(2024, 1, d, 12)
     parents = spark.createDataFrame([("live", t(1), None, 1), ("late", t(9), None, 1), ("dead", t(1), t(5), 0), ("odd", None, None, 0), ("back", t(1), t(3), 1)], "k string, i timestamp, u timestamp, s int")
