@@ -73,6 +73,11 @@ def in_zone(c: Column, zone: str) -> Column:
     return F.to_utc_timestamp(c, zone)
 
 
+def day_difference(end: Column, start: Column) -> Column:
+    """Days from start to end; negative if the end is earlier, null where either is."""
+    return F.datediff(end, start)
+
+
 def first_of_next_month(c: Column) -> Column:
     return F.add_months(F.trunc(c, "month"), 1)
 

@@ -15,6 +15,7 @@ import hashlib
 import hmac
 import re
 from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 from functools import lru_cache
 
 import pandas as pd
@@ -96,7 +97,8 @@ def mask_number(key: bytes, number: int, top: int, back: bool = False) -> int:
 
 def mask_decimal(key: bytes, text: str, scale: int, back: bool = False) -> str:
     """As :func:`mask_number`, on the digits without the point."""
-    masked = mask_number(key, int(text.replace(".", "")), 10**38, back)
+    plain = f"{Decimal(text):f}"  # never in exponents
+    masked = mask_number(key, int(plain.replace(".", "")), 10**38, back)
     digits = str(abs(masked)).zfill(scale + 1)
     return ("-" if masked < 0 else "") + (digits[:-scale] + "." + digits[-scale:] if scale else digits)
 
@@ -204,8 +206,7 @@ def _masked(df: DataFrame, names: Sequence[str], f: Callable[[str | None], str |
             out[name] = _udf(lambda v, top=TOPS[kind]: v if v is None else str(mask_number(numbers[0], int(v), top, numbers[1])))(col(name).cast("string")).cast(kind)
         elif numbers and kind.startswith("decimal"):
             scale = int(kind.rstrip(")").split(",")[1])
-            plain = F.format_string(f"%.{scale}f", col(name))  # never in exponents
-            out[name] = _udf(lambda v, s=scale: v if v is None else mask_decimal(numbers[0], v, s, numbers[1]))(F.when(col(name).isNotNull(), plain)).cast(kind)
+            out[name] = _udf(lambda v, s=scale: v if v is None else mask_decimal(numbers[0], v, s, numbers[1]))(col(name).cast("string")).cast(kind)
         elif kind in ("string", "int", "bigint") or kind.startswith("decimal"):
             out[name] = text(col(name).cast("string")).try_cast(kind)
         elif kind == "array<string>":

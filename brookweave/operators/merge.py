@@ -20,11 +20,18 @@ CHANGE_RANK = {"DWH_1TM": 1, "T24_1TM": 2, "CDC_INSERT": 3, "CDC_UPDATE": 3, "CD
 
 def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df``, failing in the job that reads it if a key occurs twice (nulls excepted: they match nothing)."""
-    w = Window.partitionBy(*[col(k) for k in keys])
-    null_key = F.coalesce(*[F.when(col(k).isNull(), True) for k in keys], F.lit(False))
-    seen = df.withColumn("_n", F.count(F.lit(1)).over(w))
+    # keys alone are counted, combined before the shuffle; what occurs twice is next to nothing, so it is no wide window
+    held = df
+    for k in keys:
+        held = held.where(col(k).isNotNull())
+    named = {k: f"_u{i}" for i, k in enumerate(keys)}
+    twice = held.groupBy(*[col(k).alias(u) for k, u in named.items()]).agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    on = F.lit(True)
+    for k, u in named.items():
+        on = on & (col(k) == F.col(u))
     fail = F.raise_error(F.concat(F.lit("a source key occurs more than once: "), F.concat_ws(",", *[col(k).cast("string") for k in keys])))
-    return seen.where(F.when((F.col("_n") > 1) & ~null_key, fail.cast("boolean")).otherwise(True)).drop("_n")
+    seen = df.join(twice, on, "left")
+    return seen.where(F.when(F.col("_times").isNotNull(), fail.cast("boolean")).otherwise(True)).select(*[col(c) for c in df.columns])
 
 
 def differs(columns: Sequence[str], left: str, right: str, null_safe: bool = False) -> Column:

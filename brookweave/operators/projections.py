@@ -70,6 +70,12 @@ def strip_trailing_chars(df: DataFrame, pattern: str) -> DataFrame:
     return df.toDF(*[c.rstrip(pattern) for c in df.columns])
 
 
+@operator("filter_df")
+def select_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The listed fields, in that order; nested ones by their dotted path, under their last name."""
+    return df.select(*[F.col(f) for f in fields])
+
+
 @operator()
 def to_df(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.toDF(*columns)

@@ -12,13 +12,14 @@ from brookweave.columns import col, pick
 from brookweave.operators.validations import drop_all_blank
 from brookweave.registry import operator
 
-_LIMIT = "approvedaggregatedlimit limitclassaggregationId proposedaggregatedlimit groupapprovedaggregatedlimit groupproposedaggregatedlimit"
 #: The schemas of the embedded JSON arrays, by operator name.
 JSON_ARRAYS = {
     "structaccount_balance": "array<struct<Balance:decimal(21,6),AccountId:string,AsciiFormula:string,EntryMethodId:string,"
     "OriginBalance:decimal(21,6),OriginRounding:int>>",
     "structstatement_constant": "array<struct<Id:bigint,Value:string>>",
-    "struct_limitclassaggregation": "array<struct<entityid:string,limitclass:string," + ",".join(f"{c}:decimal(10,0)" for c in _LIMIT.split()) + ">>",
+    "struct_limitclassaggregation": "array<struct<entityid:string,limitclass:string,approvedaggregatedlimit:decimal(10,0),"
+    "limitclassaggregationId:decimal(10,0),proposedaggregatedlimit:decimal(10,0),groupapprovedaggregatedlimit:decimal(10,0),"
+    "groupproposedaggregatedlimit:decimal(10,0)>>",
     "struct_primaryborrower": "array<struct<EntityId:bigint,LongName:string>>",
     "struct_bcde_entityhierarchy_from_to": "array<struct<CountryOfInc:string,EntityId:bigint,EntityType:string,LongName:string>>",
 }
@@ -131,7 +132,8 @@ def extract_json_payload(df: DataFrame, column_patterns: str, id_column: str = "
     """A payload of JSON objects by name, merged to one row per id with one string column per inner field.
 
     ``fields`` lists the columns; without it one job finds them. ``operation`` becomes a change type: load and insert
-    CDC_INSERT, update CDC_UPDATE, delete CDC_DELETE. Payloads of one entry only are no change and are left out.
+    CDC_INSERT, update CDC_UPDATE, delete CDC_DELETE. Payloads of one entry only are no change and are left out. Of a field
+    that several entries hold the greatest value counts, so the result does not depend on their order.
     """
     name = column_patterns if isinstance(column_patterns, str) else column_patterns[0]
     outer = F.from_json(col(name), "map<string,string>")
@@ -140,7 +142,7 @@ def extract_json_payload(df: DataFrame, column_patterns: str, id_column: str = "
         .select(id_column, F.explode("_m").alias("_entry", "_text"))
         .select(id_column, F.explode(F.from_json("_text", "map<string,string>")).alias("_field", "_value"))
     )
-    wide = cells.groupBy(id_column).pivot("_field", list(fields) if fields else None).agg(F.first("_value", ignorenulls=True))
+    wide = cells.groupBy(id_column).pivot("_field", list(fields) if fields else None).agg(F.max("_value"))
     if "operation" not in wide.columns:
         return wide
     op = F.lower("operation")
@@ -149,8 +151,17 @@ def extract_json_payload(df: DataFrame, column_patterns: str, id_column: str = "
 
 
 @operator()
-def maps_to_columns(df: DataFrame, map_columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """One column per key; a key in several maps is taken from the last one that has it. No shuffle: maps are looked up."""
+def maps_to_columns(df: DataFrame, map_columns: Sequence[str], keys: Sequence[str] | None = None, most_keys: int = 10_000) -> DataFrame:
+    """One column per key; a key in several maps is taken from the last one that has it. No shuffle: maps are looked up.
+    Without ``keys`` one job finds them; more than ``most_keys`` columns are refused."""
+    if keys is None:
+        found = None
+        for c in map_columns:
+            part = df.select(F.explode(F.map_keys(col(c))).alias("k"))
+            found = part if found is None else found.unionByName(part)
+        keys = [r.k for r in found.distinct().orderBy("k").limit(most_keys + 1).collect()]
+        if len(keys) > most_keys:
+            raise ValueError(f"more than {most_keys} keys")
     value = lambda k: F.coalesce(*[F.try_element_at(col(c), F.lit(k)) for c in reversed(list(map_columns))])
     return df.withColumns({k: value(k) for k in keys}).drop(*map_columns)
 

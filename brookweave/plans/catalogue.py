@@ -212,9 +212,8 @@ def _(s, d):
 @query("scd2_fill_updated", """select event_id, user_id, strftime(coalesce(lead(ts) over (partition by user_id order by ts, event_id),
   timestamp '3000-11-07 17:00:00'), '%Y-%m-%d %H:%M:%S') as updated from events""")
 def _(s, d):
-    e = table(s, d, "events").withColumn("created", F.struct(F.col("ts").cast("timestamp").alias("ts"), "event_id"))
-    w = D.Window.partitionBy("user_id").orderBy("created")
-    filled = e.withColumn("updated", F.coalesce(F.lead(F.col("created.ts")).over(w), D.open_time()))
+    e = table(s, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("created"))
+    filled = D.scd2_fill_updated_time(e, ["user_id"], "created", "updated")
     return texts(filled.select("event_id", "user_id", "updated"))
 
 
@@ -418,61 +417,14 @@ def _(s, d):
 
 # --- jobs ------------------------------------------------------------------------------------------------------------
 
-_JOBS = """with wt as (select distinct 'job' || l_suppkey as job_name, 'g' || (l_suppkey % 3) as job_grp, 'S' || (l_partkey % 2) || '.job' || (l_partkey % 50) as job_dependency from lineitem where l_orderkey % 20 = 0),
-lg as (select distinct case when p_partkey % 7 = 0 then 0 else 1 end as status, 'S' || (p_partkey % 2) as system_type, 'job' || (p_partkey % 50) as job_name, date '2024-01-31' as cob_dt from part where p_partkey % 50 < 45)"""
-
-
-def job_tables(s, d):
-    lines = table(s, d, "lineitem").where("l_orderkey % 20 = 0")
-    name = lambda c: F.concat(F.lit("job"), c.cast("string"))
-    system = lambda c: F.concat(F.lit("S"), (c % 2).cast("string"))
-    wt = lines.select(
-        name(F.col("l_suppkey")).alias("job_name"), F.concat(F.lit("g"), (F.col("l_suppkey") % 3).cast("string")).alias("job_grp"),
-        F.concat(system(F.col("l_partkey")), F.lit("."), name(F.col("l_partkey") % 50)).alias("job_dependency"),
-    ).distinct()
-    part = table(s, d, "part").where("p_partkey % 50 < 45")
-    lg = part.select(
-        F.when(F.col("p_partkey") % 7 == 0, 0).otherwise(1).alias("status"), system(F.col("p_partkey")).alias("system_type"),
-        name(F.col("p_partkey") % 50).alias("job_name"), F.lit("2024-01-31").cast("date").alias("cob_dt"),
-    ).distinct()
-    return wt, lg
-
-
-def _available(extra: str) -> str:
-    return f"""{_JOBS} select wt.job_name from wt left join lg l1 on split_part(wt.job_dependency, '.', 1) = l1.system_type and split_part(wt.job_dependency, '.', 2) = l1.job_name and l1.status = 1
-where wt.job_grp = 'g1' and not exists (select 1 from lg l2 where l2.job_name = wt.job_name{extra}) group by 1 having count(wt.job_name) = count(l1.job_name)"""
-
-
-@query("jobs_available", _available(""))
-def _(s, d):
-    return G.available_jobs(*job_tables(s, d), "g1", "2024-01-31")
-
-
-@query("jobs_available_waiting", _available(" and l2.system_type = 'S1'"))
-def _(s, d):
-    wt, lg = job_tables(s, d)
-    return G.available_jobs(wt.withColumn("wait_status", F.lit("Y")), lg, "g1", "2024-01-31", "S1", "wait_status")
-
-
-@query("group_pending", f"""{_JOBS} select count(*) as n_unfinished from (select wt.job_name from wt left join lg on wt.job_name = lg.job_name and lg.status = 1
-  where wt.job_grp = 'g2' group by 1 having count(wt.job_name) <> count(lg.job_name))""")
-def _(s, d):
-    return G.unfinished_jobs(*job_tables(s, d), "g2", "2024-01-31")
-
-
-@query("job_status", f"{_JOBS} select job_name, case when status = 1 then 'COMPLETED' else 'FAIL' end as job_status from lg where job_name = 'job7'")
-def _(s, d):
-    return G.job_status(job_tables(s, d)[1], "job7", "2024-01-31")
-
-
 #: The whole of lineitem: a job is an order, its dependencies are the order's lines, its group the order's priority.
-_LINE_JOBS = """with wt as (select distinct 'job' || l_orderkey as job_name, o_orderpriority as job_grp, 'S' || l_linestatus || '.line' || l_orderkey || '-' || l_linenumber as job_dependency
+_JOBS = """with wt as (select distinct 'job' || l_orderkey as job_name, o_orderpriority as job_grp, 'S' || l_linestatus || '.line' || l_orderkey || '-' || l_linenumber as job_dependency
   from lineitem join orders on l_orderkey = o_orderkey),
 lg as (select distinct case when l_returnflag = 'N' then 0 else 1 end as status, 'S' || l_linestatus as system_type, 'line' || l_orderkey || '-' || l_linenumber as job_name from lineitem
   union all select distinct case when o_orderstatus = 'F' then 1 else 0 end, 'S' || o_orderstatus, 'job' || o_orderkey from orders where o_orderstatus <> 'O')"""
 
 
-def line_job_tables(s, d):
+def job_tables(s, d):
     lines, orders = table(s, d, "lineitem"), table(s, d, "orders")
     line = F.concat(F.lit("line"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
     system = lambda c: F.concat(F.lit("S"), c)
@@ -488,26 +440,26 @@ def line_job_tables(s, d):
     return wt, done.distinct().unionByName(begun.distinct())
 
 
-def _available_lines(extra: str) -> str:
-    return f"""{_LINE_JOBS} select wt.job_name from wt left join lg l1 on split_part(wt.job_dependency, '.', 1) = l1.system_type and split_part(wt.job_dependency, '.', 2) = l1.job_name and l1.status = 1
+def _available(extra: str) -> str:
+    return f"""{_JOBS} select wt.job_name from wt left join lg l1 on split_part(wt.job_dependency, '.', 1) = l1.system_type and split_part(wt.job_dependency, '.', 2) = l1.job_name and l1.status = 1
 where wt.job_grp = '1-URGENT' and not exists (select 1 from lg l2 where l2.job_name = wt.job_name{extra}) group by 1 having count(wt.job_name) = count(l1.job_name)"""
 
 
-@query("jobs_available_lines", _available_lines(""))
+@query("jobs_available", _available(""))
 def _(s, d):
-    return G.available_jobs(*line_job_tables(s, d), "1-URGENT", "2024-01-31")
+    return G.available_jobs(*job_tables(s, d), "1-URGENT", "2024-01-31")
 
 
-@query("jobs_available_waiting_lines", _available_lines(" and l2.system_type = 'SP'"))
+@query("jobs_available_waiting", _available(" and l2.system_type = 'SP'"))
 def _(s, d):
-    wt, lg = line_job_tables(s, d)
+    wt, lg = job_tables(s, d)
     return G.available_jobs(wt.withColumn("wait_status", F.lit("Y")), lg, "1-URGENT", "2024-01-31", "SP", "wait_status")
 
 
-@query("group_pending_lines", f"""{_LINE_JOBS} select count(*) as n_unfinished from (select wt.job_name from wt left join lg on wt.job_name = lg.job_name and lg.status = 1
+@query("group_pending", f"""{_JOBS} select count(*) as n_unfinished from (select wt.job_name from wt left join lg on wt.job_name = lg.job_name and lg.status = 1
   where wt.job_grp = '2-HIGH' group by 1 having count(wt.job_name) <> count(lg.job_name))""")
 def _(s, d):
-    return G.unfinished_jobs(*line_job_tables(s, d), "2-HIGH", "2024-01-31")
+    return G.unfinished_jobs(*job_tables(s, d), "2-HIGH", "2024-01-31")
 
 
 _RUNS = "with r as (select 'u' || user_id as job_name, ts, case event_type when 'error' then 'FAILED' when 'view' then 'SKIPPED' else 'SUCCEEDED' end as status, event_id from events)"
@@ -533,12 +485,23 @@ def _(s, d):
     return out.select("n_succeeded", F.col("all_succeeded").cast("int").alias("all_succeeded"))
 
 
-@query("job_finish", f"{_JOBS} select job_name, case when job_name = 'job7' then 1 else 0 end as done from lg where job_name <> 'job7' union all select 'job7', 1")
+@query("job_status", f"{_JOBS} select job_name, case when status = 1 then 'COMPLETED' else 'FAIL' end as job_status from lg where job_name = 'line7-1'")
+def _(s, d):
+    return G.job_status(job_tables(s, d)[1], "line7-1", "2024-01-31")
+
+
+@query("job_finish", f"{_JOBS} select job_name, case when job_name like 'job%' then 1 else status end as status from lg")
 def _(s, d):
     lg = job_tables(s, d)[1]
-    done = lg.where("job_name = 'job7'").limit(1).withColumn("status", F.lit(1))
-    out = G.log_finish(lg, done)
-    return out.select("job_name", F.when(F.col("job_name") == "job7", F.col("status")).otherwise(0).alias("done"))
+    done = lg.where("job_name like 'job%'").withColumn("status", F.lit(1))
+    return G.log_finish(lg, done).select("job_name", "status")
+
+
+@query("job_start", f"{_JOBS} select job_name, status, system_type from lg union all select distinct 'job' || o_orderkey, 0, 'DS' from orders where o_orderstatus = 'O'")
+def _(s, d):
+    lg = job_tables(s, d)[1]
+    waiting = table(s, d, "orders").where("o_orderstatus = 'O'").select(F.concat(F.lit("job"), F.col("o_orderkey").cast("string")).alias("job_name")).distinct()
+    return G.log_start(lg, waiting, "2024-01-31", "DS").select("job_name", "status", "system_type")
 
 
 # --- projections -----------------------------------------------------------------------------------------------------
@@ -1081,19 +1044,7 @@ def _(s, d):
     return s.read.parquet(out).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
-@query("pipeline_fold", "select o_orderkey as order_key, upper(o_orderstatus) as status, sha256(concat_ws('||', o_orderkey::varchar, upper(o_orderstatus))) as h from orders where o_orderkey between 100 and 5000")
-def _(s, d):
-    steps = [
-        {"name": "drop_all_column_except", "column_list": ["o_orderkey", "o_orderstatus"]},
-        {"name": "rename_column", "rename_list": [{"origin": "o_orderkey", "new": "order_key"}, {"origin": "o_orderstatus", "new": "status"}]},
-        {"name": "da_text_with_unicode", "column_patterns": ["status"]},
-        {"name": "calculate_hash_index", "column_name": "h"},
-    ]
-    checks = [{"name": "valid_numeric", "column_patterns": ["order_key"], "min_value": 100, "max_value": 5000, "is_mandatory": True}]
-    return run_pipeline(table(s, d, "orders"), steps, checks)
-
-
-@query("pipeline_fold_values", "select o_orderkey as order_key, upper(o_orderstatus) as status, o_totalprice::double as price, sha256(concat_ws('||', o_orderkey::varchar, upper(o_orderstatus))) as h from orders where o_totalprice between 1000 and 450000")
+@query("pipeline_fold", "select o_orderkey as order_key, upper(o_orderstatus) as status, o_totalprice::double as price, sha256(concat_ws('||', o_orderkey::varchar, upper(o_orderstatus))) as h from orders where o_totalprice between 1000 and 450000")
 def _(s, d):
     steps = [
         {"name": "drop_all_column_except", "column_list": ["o_orderkey", "o_orderstatus", "o_totalprice"]},

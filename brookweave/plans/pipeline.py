@@ -26,6 +26,8 @@ class Output:
     def __post_init__(self) -> None:
         if not self.input_name and not self.input_names:
             raise ValueError("an output needs input_name or input_names")
+        if "kind" in self.target:
+            tables_.check_target(self.target)
 
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import OrderedDict
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -182,13 +183,24 @@ def read_lineage(spark: SparkSession, spec: Input) -> DataFrame:
     return lineage_rows(read_json(spark, spec))
 
 
-def read_staging(spark: SparkSession, spec: Input, _memo: dict[Any, DataFrame | None] = {}) -> DataFrame | None:  # noqa: B006
-    """A catalog read that is remembered by session, table and predicate; None where there is nothing."""
+_STAGED: OrderedDict[Any, DataFrame | None] = OrderedDict()
+
+
+def read_staging(spark: SparkSession, spec: Input, most: int = 128) -> DataFrame | None:
+    """A catalog read that is remembered by session, table and predicate (the ``most`` latest ones, until
+    :func:`forget_staging`); None where there is nothing."""
     key = (spark.sparkContext.applicationId, spec.table, str(spec.partition))
-    if key not in _memo:
+    if key not in _STAGED:
         df = read_catalog(spark, spec)
-        _memo[key] = None if df is None or df.isEmpty() else df
-    return _memo[key]
+        _STAGED[key] = None if df is None or df.isEmpty() else df
+        while len(_STAGED) > most:
+            _STAGED.popitem(last=False)
+    _STAGED.move_to_end(key)
+    return _STAGED[key]
+
+
+def forget_staging() -> None:
+    _STAGED.clear()
 
 
 READERS: dict[str, Callable[[SparkSession, Input], DataFrame | None]] = {
@@ -208,9 +220,12 @@ def read_all(spark: SparkSession, specs: Sequence[Input]) -> dict[str, DataFrame
 # --- key/value access on a table of items ---------------------------------------------------------------------------
 
 
-def get_item(df: DataFrame, key: Mapping[str, Any]) -> DataFrame:
-    """The item of a full key (one row; none if it is missing)."""
-    return query_items(df, key).limit(1)
+def get_item(df: DataFrame, key: Mapping[str, Any], required: bool = False) -> DataFrame:
+    """The item of a full key (one row). A missing one gives no row, or a KeyError where it is ``required``."""
+    found = query_items(df, key).limit(1)
+    if required and found.isEmpty():
+        raise KeyError(dict(key))
+    return found
 
 
 def query_items(df: DataFrame, key: Mapping[str, Any], between: tuple[str, Any, Any] | None = None, project: Sequence[Column | str] = ()) -> DataFrame:
@@ -227,9 +242,9 @@ def scan_items(df: DataFrame, condition: Column | str, project: Sequence[Column
     return df.select(*project) if project else df
 
 
-def sample_items(spark: SparkSession, path: str, n: int = 250) -> DataFrame:
-    """The first ``n`` items of a JSON list (the feature is the limit)."""
-    return spark.read.json(path, multiLine=True).limit(n)
+def sample_items(spark: SparkSession, path: str, n: int = 250, multi_line: bool = True) -> DataFrame:
+    """The first ``n`` items of a JSON list, or of a file of one item per line (the feature is the limit)."""
+    return spark.read.json(path, multiLine=multi_line).limit(n)
 
 
 def source_and_target(spark: SparkSession, source: Input, target: str) -> tuple[DataFrame | None, DataFrame]:

@@ -17,13 +17,14 @@ def write_files(
     header: bool = True, max_records_per_file: int = 0, max_rows_per_task: int = 0,
 ) -> None:
     """Partitioned files. ``overwrite_partition`` replaces only the partitions that ``df`` holds (a writer option, so the
-    session's setting is not touched). File sizes: ``max_records_per_file`` caps files within a task."""
+    session's setting is not touched). ``max_records_per_file`` caps files within a task; ``max_rows_per_task`` also evens
+    out the tasks first."""
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode}")
     if mode == "overwrite_partition" and not partition_columns:
         raise ValueError("overwrite_partition needs partition columns")
     if max_rows_per_task:
-        df = sized(df, max_rows_per_task)
+        df, max_records_per_file = sized(df), max_records_per_file or max_rows_per_task
     w = df.write.format(fmt).mode("append" if mode == "append" else "overwrite")
     if partition_columns:
         w = w.partitionBy(*partition_columns)
@@ -36,21 +37,31 @@ def write_files(
     w.save(path)
 
 
-def sized(df: DataFrame, rows: int) -> DataFrame:
-    """Partitions of at most about ``rows`` rows, at least one; counts once."""
-    wanted = max(1, -(-df.count() // rows))
-    return df.repartition(wanted) if wanted > df.rdd.getNumPartitions() else df.coalesce(wanted)
+def sized(df: DataFrame) -> DataFrame:
+    """Partitions of even size: small ones are joined and large ones split at run time, so nothing is counted before."""
+    return df.hint("rebalance")
 
 
-def create_or_write(df: DataFrame, table: str, partition_columns: Sequence[str] = (), provider: str = "parquet", overwrite_partitions: bool = True) -> None:
-    """Creates the table from the rows if it does not exist; otherwise replaces the partitions they hold, or appends."""
+def create_or_write(
+    df: DataFrame, table: str, partition_columns: Sequence[str] = (), provider: str = "parquet", overwrite_partitions: bool = True,
+    location: str | None = None,
+) -> None:
+    """Creates the table from the rows (at ``location``) if it does not exist; otherwise replaces the partitions they hold,
+    or appends."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         w = df.write.format(provider)
+        w = w.option("path", location) if location else w
         (w.partitionBy(*partition_columns) if partition_columns else w).saveAsTable(table)
     elif overwrite_partitions and partition_columns:
-        columns = spark.table(table).columns
-        df.select(*columns).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table)
+        # a table takes this from the session only, not from the writer
+        name = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(name)
+        spark.conf.set(name, "dynamic")
+        try:
+            df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        finally:
+            spark.conf.set(name, before)
     else:
         df.select(*spark.table(table).columns).write.mode("append").insertInto(table)
 
@@ -66,8 +77,19 @@ def insert_select(source: DataFrame, table: str, condition: Column | None = None
     df.select(*source.sparkSession.table(table).columns).write.mode("append").insertInto(table)
 
 
+def drop_table(spark: SparkSession, table: str) -> bool:
+    """Whether there was such a table; its files stay where it was given a location."""
+    there = spark.catalog.tableExists(table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return there
+
+
+def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+
+
 def delete_all(spark: SparkSession, table: str) -> None:
-    spark.table(table).where(F.lit(False)).write.mode("overwrite").insertInto(table)
+    spark.createDataFrame([], spark.table(table).schema).write.mode("overwrite").insertInto(table)
 
 
 def write_document(df: DataFrame, path: str) -> None:

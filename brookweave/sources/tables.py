@@ -87,6 +87,24 @@ class VersionedTable:
             p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Parameters without which a kind of target cannot be merged.
+NEEDED = {
+    "scd2": ("keys", "date"), "scd4_current": ("keys", "date"), "scd4_base": ("keys", "now"), "scd4_history": ("keys",), "fact_dedup": ("keys", "partition"),
+    "fact_latest": ("keys", "order"), "fact_periodic": ("partition",), "change_merge": ("keys", "insert_date"),
+    "change_merge_coalesce": ("keys", "insert_date"), "replace": ("keys",),
+}
+
+
+def check_target(target: Mapping[str, Any]) -> None:
+    """Refuses a target before anything runs: an unknown kind, or one without its path or parameters."""
+    if target.get("kind") not in KINDS:
+        raise ValueError(f"unknown kind of table {target.get('kind')}")
+    lacks = [p for p in NEEDED[target["kind"]] if p not in target.get("params", {})] + ([] if target.get("path") else ["path"])
+    if lacks:
+        raise ValueError(f"a target of kind {target['kind']} needs {', '.join(lacks)}")
+
+
 def merge_output(spark: SparkSession, df: DataFrame, target: Mapping[str, Any]) -> int:
     """A pipeline's merge target: ``{path, kind, params}``."""
+    check_target(target)
     return VersionedTable(spark, target["path"]).merge(df, target["kind"], **target.get("params", {}))

@@ -58,6 +58,26 @@ def feed_sink(target: Any, summarise: Callable[[DataFrame], DataFrame]) -> Calla
     return handle
 
 
+def session_counts(stream: DataFrame, time: str, gap: str, late: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Sessions per key: a session ends where no event follows within ``gap``. Late rows as in :func:`windowed_counts`."""
+    return stream.withWatermark(time, late).groupBy(F.session_window(F.col(time), gap).alias("session"), *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def deduplicated(stream: DataFrame, time: str, late: str, keys: Sequence[str]) -> DataFrame:
+    """The first row of every key; its state is dropped once the watermark has passed, so it stays bounded."""
+    return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
+
+
+def joined_within(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, late: str, within: str) -> DataFrame:
+    """Inner join of two streams on equal keys where the right row follows the left one within an interval; both sides' state is
+    bounded by the watermarks. The columns of both sides must differ but for the keys."""
+    a, b = left.withWatermark(left_time, late).alias("a"), right.withWatermark(right_time, late).alias("b")
+    on = F.expr(f"b.`{right_time}` >= a.`{left_time}` and b.`{right_time}` <= a.`{left_time}` + interval {within}")
+    for k in keys:
+        on = on & (F.col(f"a.`{k}`") == F.col(f"b.`{k}`"))
+    return a.join(b, on).select("a.*", *[F.col(f"b.`{c}`") for c in right.columns if c not in keys])
+
+
 def windowed_counts(stream: DataFrame, time: str, size: str, slide: str | None, late: str, keys: Sequence[str] = ()) -> DataFrame:
     """Event-time windows with a watermark: rows later than ``late`` behind the greatest time seen are dropped."""
     frame = F.window(F.col(time), size, slide) if slide else F.window(F.col(time), size)
