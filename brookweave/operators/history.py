@@ -50,14 +50,15 @@ def update_history(
     rows = rows.withColumns({"_first": F.row_number().over(w) == 1, "_inner": inner}).withColumn(
         "_inner", (F.col("_inner") & ~F.col("_first")).cast("int")
     )
-    # one row per key and bucket
-    summary = rows.groupBy("_key", "_bucket").agg(
-        F.min_by(F.struct("_attrs"), "_at").alias("_head"),
-        F.max_by(F.struct("_attrs"), "_at").alias("_tail"),
-        F.min("_at").alias("_head_at"),
-        F.min(F.when(F.col("_inner") == 1, F.col("_at"))).alias("_inner_at"),
-        F.sum("_inner").alias("_inners"),
-    )
+    # one row per key and bucket: its last, which the same window has told about the ones before
+    summary = rows.select(
+        "_key", "_bucket", F.col("_attrs").alias("_tail"),
+        F.first("_attrs").over(w).alias("_head"),
+        F.first("_at").over(w).alias("_head_at"),
+        F.min(F.when(F.col("_inner") == 1, F.col("_at"))).over(w).alias("_inner_at"),
+        F.sum("_inner").over(w).alias("_inners"),
+        F.lead("_at").over(w).isNull().alias("_ends"),
+    ).where("_ends")
     chain = Window.partitionBy("_key").orderBy("_bucket")
     ahead = chain.rowsBetween(1, Window.unboundedFollowing)
     before = chain.rowsBetween(Window.unboundedPreceding, -1)
