@@ -12,10 +12,12 @@ Bytes are written as the Latin-1 characters of the same number, and the marks ar
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 import zlib
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,11 +95,55 @@ def _merge(ranks: Column, word: Column) -> Column:
     return F.transform(inner(last["s"]), lambda p: rank_of(ranks, p))
 
 
-#: Most words whose ids every task holds, and the length of the longest of them: at most a few megabytes.
+#: Most words whose ids every task holds, and the length of the longest of them; and the same for long ones, which are
+#: rulers and the like: at most a few megabytes together.
 HOT_WORDS, HOT_LENGTH = 20_000, 48
+HOT_RULERS, RULER_LENGTH = 200, 4096
+#: Bytes from which a word is merged by a queue of its pairs: the fold looks at all pairs in each of its rounds.
+LONG_WORD = 512
 GAP = "|"
 
 
+def merged_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word by ranked merges: the pair of least rank, leftmost first, from a queue that holds every pair once,
+    so that a word of n bytes costs n log n steps."""
+    n = len(word)
+    parts: list[bytes | None] = [word[i : i + 1] for i in range(n)]
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    queue: list[tuple[int, int, bytes, bytes]] = []
+
+    def offer(i: int) -> None:
+        j = after[i]
+        if j < n and (rank := ranks.get(parts[i] + parts[j])) is not None:
+            heapq.heappush(queue, (rank, i, parts[i], parts[j]))
+
+    for i in range(n):
+        offer(i)
+    while queue:
+        _, i, a, b = heapq.heappop(queue)
+        j = after[i]
+        if parts[i] != a or j >= n or parts[j] != b:
+            continue  # one of the two was merged meanwhile
+        parts[i], parts[j] = a + b, None
+        after[i] = after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        offer(i)
+        if before[i] >= 0:
+            offer(before[i])
+    return [ranks[p] for p in parts if p is not None]
+
+
+def merge_long(vocabulary: str):
+    """The text of the ids of long words (bytes as Latin-1 characters). They are few, and the fold's rounds grow with them."""
+
+    def run(words: pd.Series) -> pd.Series:
+        ranks = dict(load_ranks(vocabulary))
+        return words.map(lambda w: " ".join(map(str, merged_bytes(w.encode("latin-1"), ranks)))).astype(object)
+
+    return F.pandas_udf(run, "string")
+
+
 def hot_map(words: list[tuple[str, str]]) -> Column:
     """A literal like the ranks', from words to the text of their ids."""
     slots: list[dict[str, str]] = [{} for _ in range(SLOTS)]
@@ -124,9 +170,12 @@ def encode_corpus(df: DataFrame, doc_id: str, text: str, vocabulary: str) -> Dat
     counted = cut.select(F.explode(F.filter("_words", is_open)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     # merging is work per word, not per byte: adaptive execution would join these small partitions into one
     counted = counted.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
-    ids = F.array_join(merge_word(ranks, F.substring("word", F.lit(2), F.length("word") - 1)), " ")
-    dictionary = persist_table(counted.withColumn("ids", ids), "dictionary")
-    top = dictionary.where(F.length("word") <= HOT_LENGTH).orderBy(F.desc("n"), "word").limit(HOT_WORDS)
+    bare = F.substring("word", F.lit(2), F.length("word") - 1)
+    short, long = counted.where(F.length("word") <= LONG_WORD), counted.where(F.length("word") > LONG_WORD)
+    encoded = short.withColumn("ids", F.array_join(merge_word(ranks, bare), " ")).unionByName(long.withColumn("ids", merge_long(vocabulary)(bare)))
+    dictionary = persist_table(encoded, "dictionary")
+    first = lambda low, high, most: dictionary.where(F.length("word").between(low + 1, high)).orderBy(F.desc("n"), "word").limit(most)
+    top = first(0, HOT_LENGTH, HOT_WORDS).unionByName(first(HOT_LENGTH, RULER_LENGTH, HOT_RULERS))
     hot = hot_map([(r.word, r.ids) for r in top.select("word", "ids").collect()])
     second = F.transform("_words", lambda w: F.when(is_open(w), F.coalesce(rank_of(hot, w), w)).otherwise(w))
     # written before it is split: a filter on it must not evaluate the lookups again

@@ -16,8 +16,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brookweave.llm.text import readings, words
+from brookweave.llm.text import fold, readings_of, visible, words
 from brookweave.session import spread
+#: Characters of text held for each code of a shard.
+CHARACTERS = 6
 
 
 def suffix_array(codes: np.ndarray) -> np.ndarray:
@@ -120,20 +122,19 @@ def leaked_spans(
 
     A span is a maximal stretch of a document covered by occurrences of an item's phrases. Items of fewer than ``span``
     words, null and empty texts on either side give nothing; repeated documents each give their own spans. A document
-    with words broken at line ends is indexed in both readings, so it may give a span twice at shifted places. Items are
-    searched in blocks of ``item_block``, every block against the whole corpus, so the phrases a task holds are bounded
-    whatever the number of items. A shard is up to ``shard`` codes of one partition; longer documents are cut into
-    pieces that overlap by ``span - 1`` words. Nothing of the corpus is shuffled but an even spread of a coarse scan.
+    with words broken at line ends is indexed in both readings, so it may give a span twice at shifted places. A shard is up
+    to ``shard`` codes of one partition; longer documents are cut into pieces that overlap by ``span - 1`` words. Items are
+    searched in blocks of ``item_block``, each with an index over its own words: a shard is read and folded once and then
+    indexed for one block after the other, so the phrases in use are bounded whatever the number of items. Blocks travel as
+    broadcasts of that size. Nothing of the corpus is shuffled but an even spread of a coarse scan.
     """
     rows = spread(corpus.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where(F.col("text").isNotNull()))
     kind, item_kind = dict(corpus.dtypes)[doc_id], dict(items.dtypes)[item_id]
     schema = f"doc_id {kind}, item_id {item_kind}, start_word int, end_word int"
     wanted = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("item_text")).where("item_text is not null")
-    found = None
-    for block in _blocks(wanted, item_block):
-        part = rows.mapInPandas(_searcher(*phrases_of(block, span), span, shard), schema)
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else corpus.sparkSession.createDataFrame([], schema)
+    context = corpus.sparkSession.sparkContext
+    blocks = [context.broadcast(phrases_of(block, span)) for block in _blocks(wanted, item_block)]
+    return rows.mapInPandas(_searcher(blocks, span, shard), schema)
 
 
 def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, str]]]:
@@ -147,8 +148,10 @@ def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def _searcher(vocabulary: dict[str, int], phrases: np.ndarray, owners: list[list[int]], span: int, shard: int):
-    def flush(pieces: list[tuple[object, int, list[int]]]) -> pd.DataFrame:
+def _searcher(blocks: Sequence, span: int, shard: int):
+    """``blocks``: broadcasts of :func:`phrases_of`."""
+
+    def search(pieces: list[tuple[object, int, list[int]]], sigma: int, phrases: np.ndarray, owners: list[list[int]]) -> pd.DataFrame:
         codes, places, docs, names = [], [], [], []
         for doc, offset, piece in pieces:
             seq = np.asarray(piece, dtype=np.int32)
@@ -159,7 +162,7 @@ def _searcher(vocabulary: dict[str, int], phrases: np.ndarray, owners: list[list
             places += [place, np.zeros(1, np.int64)]
             docs.append(np.full(len(seq) + 1, len(names)))
             names.append(doc)
-        index = FmIndex(np.concatenate(codes), len(vocabulary))
+        index = FmIndex(np.concatenate(codes), sigma)
         low, high = index.search(phrases)
         hit = np.flatnonzero(high > low)
         counts = (high - low)[hit]
@@ -179,29 +182,45 @@ def _searcher(vocabulary: dict[str, int], phrases: np.ndarray, owners: list[list
         frame["doc_id"] = pd.Series([names[s[0]] for s in spans], dtype=object)
         return frame
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def indexed(texts: list[tuple[object, str]], vocabulary: dict[str, int]) -> Iterator[list[tuple[object, int, list[int]]]]:
+        """Pieces of folded texts as codes, in lots of about a shard."""
         pieces: list[tuple[object, int, list[int]]] = []
         size = 0
+        for doc, text in texts:
+            for reading in readings_of(text, vocabulary):
+                seq = [vocabulary.get(w, 0) for w in reading]
+                for start in range(0, max(1, len(seq) - span + 1), shard):
+                    piece = seq[start : start + shard + span - 1]
+                    pieces.append((doc, start, piece))
+                    size += len(piece) + 1
+                    if size >= shard:
+                        yield pieces
+                        pieces, size = [], 0
+        if pieces:
+            yield pieces
+
+    def flush(texts: list[tuple[object, str]]) -> Iterator[pd.DataFrame]:
+        for block in blocks:
+            vocabulary, phrases, owners = block.value
+            if len(phrases):
+                for pieces in indexed(texts, vocabulary):
+                    yield search(pieces, len(vocabulary), phrases, owners)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        texts: list[tuple[object, str]] = []
+        size = 0
         for pdf in batches:
             for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                for reading in readings(text, vocabulary):
-                    seq = [vocabulary.get(w, 0) for w in reading]
-                    for start in range(0, max(1, len(seq) - span + 1), shard):
-                        piece = seq[start : start + shard + span - 1]
-                        pieces.append((doc, start, piece))
-                        size += len(piece) + 1
-                        if size >= shard:
-                            yield flush(pieces)
-                            pieces, size = [], 0
-        if pieces and len(phrases):
-            yield flush(pieces)
-
-    def nothing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _ in batches:
-            pass
-        return iter(())
-
-    return run if len(phrases) else nothing
+                shown = fold(visible(text))
+                texts.append((doc, shown))
+                size += len(shown)
+                if size >= CHARACTERS * shard:
+                    yield from flush(texts)
+                    texts, size = [], 0
+        if texts:
+            yield from flush(texts)
+
+    return run
 
 
 def leaked_items(spans: DataFrame) -> DataFrame:

@@ -38,12 +38,17 @@ def replace_tags(pattern: re.Pattern[str], by: str, text: str) -> str:
     return pattern.sub(lambda m: by if len(m[0]) <= BARE_TAG or ATTRIBUTE.search(m[0]) else m[0], text)
 
 
+def unescaped(text: str) -> str:
+    """Without entities, however often they were escaped. Each pass makes the text shorter, so there is a last one."""
+    while "&" in text and (shown := html.unescape(text)) != text:
+        text = shown
+    return text
+
+
 def visible(text: str, tags: bool = True) -> str:
-    """Entities resolved (twice, for text escaped twice), tags removed, compatibility forms composed, invisibles gone."""
-    if "&" in text:
-        text = html.unescape(text)
-        if "&" in text and ";" in text:
-            text = html.unescape(text)
+    """Entities resolved (again and again, for text escaped several times), tags removed, compatibility forms composed,
+    invisibles gone."""
+    text = unescaped(text)
     if tags and "<" in text:
         text = replace_tags(INLINE_TAG, "", replace_tags(BLOCK_TAG, "\n", drop_comments(text)))
     if not text.isascii():
@@ -68,7 +73,11 @@ def readings(text: str, known: Container[str]) -> list[list[str]]:
     """The words of a raw text: one list, or two where words are broken at line ends. A hyphen there may belong to the
     word or to the layout: in the first reading the halves are one word where ``known`` holds it, in the second the
     hyphen separates."""
-    shown = fold(visible(text))
+    return readings_of(fold(visible(text)), known)
+
+
+def readings_of(shown: str, known: Container[str]) -> list[list[str]]:
+    """:func:`readings` of a text that is folded already."""
     marked = BROKEN_WORD.sub(JOIN, shown.replace(JOIN, " ")) if "\n" in shown or "\r" in shown else shown
     if JOIN not in marked:
         return [WORD.findall(shown)]

@@ -8,7 +8,6 @@ pattern reads the text again at about 16 MB a second.
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterator, Sequence
 
@@ -16,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from brookweave.llm.text import BLOCK_TAG, INLINE_TAG, drop_comments, fold, replace_tags
+from brookweave.llm.text import BLOCK_TAG, INLINE_TAG, drop_comments, fold, replace_tags, unescaped
 
 FEATURES = (
     "log_words", "common_share", "block_common", "symbol_share", "digit_share", "cells", "marker", "sentences", "ends_sentence",
@@ -68,9 +67,7 @@ _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 def plain(text: str) -> str:
     """A text with tags or entities as a reader sees it; the borders of table cells are kept as bars."""
-    if "&" in text:
-        while (shown := html.unescape(text)) != text:
-            text = shown
+    text = unescaped(text)
     if "<" in text:
         text = _ITEM_TAG.sub("\n- ", _CELL_TAG.sub("|", drop_comments(text)))
         text = replace_tags(INLINE_TAG, "", replace_tags(BLOCK_TAG, "\n", text))

@@ -40,6 +40,25 @@ def test_encoding_matches_the_library_and_decodes(spark):
         assert r.decoded == (texts[r.doc_id] or "")
 
 
+@needs_vocabulary
+def test_long_words_and_rulers(spark, monkeypatch):
+    tiktoken = pytest.importorskip("tiktoken")
+    rng = random.Random(6)
+    pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    ranks = dict(encoding.load_ranks(VOCABULARY))
+    codec = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    for n in (1, 2, 3, 50, 700):
+        word = "".join(rng.choice("aábcde") for _ in range(n))
+        assert encoding.merged_bytes(word.encode(), ranks) == codec.encode_ordinary(word)
+    assert encoding.merged_bytes(b"a" * 1001, ranks) == codec.encode_ordinary("a" * 1001)
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000))
+    texts = [long, "=" * 300 + " x " + "-" * 3000, "=" * 300, "z" * 600 + " " + "q" * 511]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    began = time.time()
+    got = {r.doc_id: r.ids for r in encoding.encode_corpus(df, "doc_id", "text", VOCABULARY).collect()}
+    assert got == {i: codec.encode_ordinary(t) for i, t in enumerate(texts)} and time.time() - began < 60
+
+
 @needs_vocabulary
 def test_encoding_keeps_repeated_and_null_ids_and_rare_words(spark, monkeypatch):
     monkeypatch.setattr(encoding, "HOT_WORDS", 1)
@@ -101,6 +120,7 @@ def test_index_counts_and_locates():
 def test_reading_text():
     assert text.words("<p>Đường&nbsp;d&agrave;i</p><b>A</b>bc é ﬁn​al don't") == ["duong", "dai", "abc", "e", "final", "don", "t"]
     assert text.readings("arrange-\n> ment of co-\noperative", {"arrangement"}) == [["arrangement", "of", "co", "operative"], ["arrange", "ment", "of", "co", "operative"]]
+    assert text.words("a&amp;amp;amp;lt;b&amp;amp;amp;gt;c &amp;amp;amp;nbsp;d") == ["ac", "d"]
     assert text.readings("plain text", set()) == [["plain", "text"]]
 
 
