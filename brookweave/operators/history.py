@@ -31,8 +31,10 @@ def update_history(
     starts) is then chained per key, which is bounded by the calendar, and joined back on the same partitioning to
     settle the first row of each bucket, to offset the running sum and to find the next start across buckets.
     """
-    picked = df.where(F.col(effective).isNotNull()).select(
-        F.col(key).alias("_key"),
+    # the key in a struct: it is never null then and null keys are equal, so the join below is on plain equality and keeps the
+    # partitioning of the windows; what a join would infer about the bucket is said here, so that both sides share one shuffle
+    picked = df.where(F.col(effective).isNotNull() & F.date_trunc(bucket, F.col(effective)).isNotNull()).select(
+        F.struct(F.col(key).alias("key")).alias("_key"),
         F.col(effective).alias("_at"),
         F.date_trunc(bucket, F.col(effective)).alias("_bucket"),
         F.col(load_time).alias("_load"),
@@ -74,7 +76,7 @@ def update_history(
         )
     )
     starts = (
-        rows.join(summary, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_bucket") == F.col("_b")))
+        rows.join(summary, (F.col("_key") == F.col("_k")) & (F.col("_bucket") == F.col("_b")))
         .drop("_k", "_b")
         .withColumn("_start", F.when(F.col("_first"), F.col("_opens")).otherwise(F.col("_inner")))
         .withColumn("_island", F.col("_offset") + F.sum("_start").over(w))
@@ -83,5 +85,5 @@ def update_history(
     return (
         starts.withColumn("valid_to", F.coalesce(F.lead("_at").over(w), F.col("_later")))
         .where(F.col("_attrs").isNotNull())
-        .select("_key", F.col("_island").alias("version"), F.col("_at").alias("valid_from"), "valid_to", F.col("_attrs").alias("attributes"))
+        .select(F.col("_key.key").alias("_key"), F.col("_island").alias("version"), F.col("_at").alias("valid_from"), "valid_to", F.col("_attrs").alias("attributes"))
     )
