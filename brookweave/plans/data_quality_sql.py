@@ -160,3 +160,11 @@ _TYPED = """
   where json_type(y) not in ('NULL', 'ARRAY') and (json_type(y) <> 'OBJECT' or json_type(y, '$.name') not in ('NULL', 'OBJECT', 'ARRAY'))"""
 SQL["p6_subtypes"] = f"""select parent_table, elem_path, subtype, count(*) n_rows, count(distinct parent_id) n_parents from ({_TYPED})
   where regexp_replace(elem_text, '\\s', '', 'g') <> '' group by all"""
+SQL["p6_named"] = """select 'moviedata' parent_table, rec_id parent_id, path elem_path, (p - 1)::int elem_pos, regexp_replace(y ->> '$.name', '^\\s+|\\s+$', '', 'g') as "name",
+    (len(json_keys(y)) - 1)::int n_fields
+  from (select rec_id, path, v[p] y, p from (select rec_id, path, v, unnest(range(1, len(v) + 1)) p from (
+    select rec_id, 'info.' || f path, case json_type(x) when 'ARRAY' then json_extract(x, '$[*]') else [x] end v
+    from (select rec_id, f, json_extract(r, '$.' || f) x from (
+      select rec_id, case when json_type(info_json, '$.info') = 'OBJECT' then json_extract(info_json, '$.info') else info_json::json end r
+      from moviedata where info is null and info_json is not null and json_valid(info_json)), (values ('actors'), ('genres')) t(f)))))
+  where json_type(y) = 'OBJECT' and json_type(y, '$.name') not in ('NULL', 'OBJECT', 'ARRAY')"""

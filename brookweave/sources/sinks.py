@@ -24,7 +24,7 @@ def write_files(
     if mode == "overwrite_partition" and not partition_columns:
         raise ValueError("overwrite_partition needs partition columns")
     if max_rows_per_task:
-        df, max_records_per_file = sized(df), max_records_per_file or max_rows_per_task
+        df, max_records_per_file = balanced(df), max_records_per_file or max_rows_per_task
     w = df.write.format(fmt).mode("append" if mode == "append" else "overwrite")
     if partition_columns:
         w = w.partitionBy(*partition_columns)
@@ -37,7 +37,14 @@ def write_files(
     w.save(path)
 
 
-def sized(df: DataFrame) -> DataFrame:
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """Partitions of at most about ``rows`` rows, at least one. Counts once, which computes the input an extra time; writers use
+    :func:`balanced` with a cap on records per file instead."""
+    wanted = max(1, -(-df.count() // rows))
+    return df.repartition(wanted) if wanted > df.rdd.getNumPartitions() else df.coalesce(wanted)
+
+
+def balanced(df: DataFrame) -> DataFrame:
     """Partitions of even size: small ones are joined and large ones split at run time, so nothing is counted before."""
     return df.hint("rebalance")
 

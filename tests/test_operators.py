@@ -299,16 +299,165 @@ def test_versioned_table(spark, tmp_path):
 
 
 def test_job_queries_read_every_line(spark, sf):
-    wt, _ = catalogue.line_job_tables(spark, sf)
+    wt, _ = catalogue.job_tables(spark, sf)
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_linestatus").distinct()
     assert wt.count() == lines.count()
-    for name in ("jobs_available_lines", "jobs_available_waiting_lines"):
+    for name in ("jobs_available", "jobs_available_waiting"):
         assert catalogue.QUERIES[name](spark, sf).count() > 0
         assert "%" not in catalogue.SQL[name]
 
 
 def test_pipeline_reads_every_order(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet")
-    got = {r.order_key for r in catalogue.QUERIES["pipeline_fold_values"](spark, sf).collect()}
+    got = {r.order_key for r in catalogue.QUERIES["pipeline_fold"](spark, sf).collect()}
     assert got == {r.o_orderkey for r in orders.collect() if 1000 <= r.o_totalprice <= 450000}
     assert 0.8 * orders.count() < len(got) < orders.count() and min(got) < 100
+
+
+# --- values of odd forms ---------------------------------------------------------------------------------------------
+
+
+def test_masked_numbers_keep_their_kind():
+    from brookweave.operators.masking import mask_decimal, mask_number
+
+    for top in (2**31 - 1, 2**63 - 1):
+        values = [0, 1, 9, 10, 99, 1000, 1234567890, 1100000000, 2000000000, 2**31 - 1, -1, -9, -10, -(2**31), top, -top - 1]
+        masks = [mask_number(b"k", v, top) for v in values]
+        for v, m in zip(values, masks):
+            assert len(str(m)) == len(str(v)) and (m < 0) == (v < 0) and -top - 1 <= m <= top
+            assert mask_number(b"k", m, top, back=True) == v
+    assert len({mask_number(b"k", v, 2**31 - 1) for v in range(100, 1000)}) == 900
+    for text, scale in (("12.340000", 6), ("-0.05", 2), ("0E-8", 8), ("0.000000", 6), ("123", 0), ("-7", 0)):
+        masked = mask_decimal(b"k", text, scale)
+        assert float(mask_decimal(b"k", masked, scale, back=True)) == float(text) and len(masked.partition(".")[2]) == scale
+
+
+def test_masked_columns_of_numbers(spark):
+    from brookweave.operators.masking import mask_pii, unmask_pii
+
+    df = spark.createDataFrame([(1, 2000000000, -5), (2, 1234567890, 2**63 - 1), (3, None, None)], "id int, i int, l bigint")
+    masked = mask_pii(df, ["i", "l"], key="k")
+    assert masked.dtypes == df.dtypes and masked.where("id < 3 and (i is null or l is null)").count() == 0
+    assert sorted(unmask_pii(masked, ["i", "l"], key="k").collect()) == sorted(df.collect())
+
+
+def test_kept_parts_and_words():
+    from brookweave.operators.masking import keep_first, keep_last, mask_words
+
+    assert keep_last(b"k", "ab@cd", "[^@]+")[2:] == "@cd" and keep_last(b"k", "ab@cd", "[^@]+")[:2] != "ab"
+    assert keep_first(b"k", "+84 12345", r"\+\d\d")[:3] == "+84"
+    assert keep_first(b"k", "12345", r"\+\d\d") != "12345" and keep_last(b"k", None, ".") is None
+    assert len(mask_words(b"k", "  ab  cd ").split(" ")) == 2 and mask_words(b"k", None) is None
+
+
+def test_snake_case():
+    from brookweave.operators.projections import snake
+
+    cases = {
+        "CustomerKey": "customer_key", "customerKey": "customer_key", "HTTPServer": "http_server", "userID": "user_id", "userID2Name": "user_id2_name",
+        "Full-Name": "full_name", "full name": "full_name", " A  B ": "a_b", "already_snake": "already_snake", "ABC": "abc", "aBC": "a_bc", "x2Y": "x2_y",
+        "": "", "-": "", "Ngày-Sinh": "ngày_sinh", "My_Name": "my__name",
+    }
+    assert {k: snake(k) for k in cases} == cases
+
+
+def test_validations_on_other_types(spark):
+    import datetime as dt
+
+    from brookweave.operators import validations as V
+
+    df = spark.createDataFrame([(1, None, None, ""), (2, 5, None, ""), (3, None, dt.date(2024, 1, 1), None), (4, None, None, "x")], "id int, n bigint, d date, t string")
+    assert {r.id for r in V.drop_all_blank(df, ["n", "d", "t"]).collect()} == {2, 3, 4}
+    texts = spark.createDataFrame([("x",), ("5.5",), ("11",), (None,), (" 7 ",)], "v string")
+    assert {r.v for r in V.valid_numeric(texts, ["v"], 5, 10, True).collect()} == {"5.5", " 7 "}
+    assert [r.v for r in V.valid_numeric(texts, ["v"], max_value=10).where("v is not null").collect()] == ["5.5", " 7 "]
+    mails = ["A-b@C.com", "a@b.c", "a@b", "no", None, "(Some Name) a@x.vn", "a b@x.org"]
+    got = [r.e for r in V.validate_email(spark.createDataFrame([(m,) for m in mails], "e string"), "e").collect()]
+    assert got == ["a_b@c.com", "", "", "", "", "(some name) a@x.vn", "a b@x.org"]
+
+
+def test_dates_of_unknown_form(spark):
+    from brookweave.functions import dates
+
+    cases = {
+        "2024-01-05": "20240105", "2024-01-05 12:30:00": "20240105", "2024-01-05T10:00:00": "20240105", "2024-1-5": "20240105", "2024-03": "20240301",
+        "03/04/2024": "20240403", "31/12/24": "20241231", "12/31/2024": "20241231", "20240131": "20240131", "31122024": "20241231", "240131": "20240131",
+        "2024/01/05": "20240105", "5-1": None, "garbage": None, "": None, "2024-13-01": None,
+    }
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "t string, want string").withColumn("got", dates.date_digits(F.col("t")))
+    assert [(r.t, r.got) for r in df.collect() if r.got != r.want] == []
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from brookweave import session
+
+    def other(master, held=None, conf=None):
+        context = SimpleNamespace(applicationId=f"app-{master}", master=master, getCheckpointDir=lambda: held)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf), sparkContext=context)
+
+    for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1024]", "k8s://h"):
+        with pytest.raises(RuntimeError):
+            session.checkpoint_root(other(master))
+        assert session.checkpoint_root(other(master, held="hdfs:/ck/1")) == "hdfs:/ck/1"
+        assert session.checkpoint_root(other(master, conf="file:///shared/")) == "file:///shared"
+
+
+def test_repeated_source_keys_fail_and_null_keys_do_not(spark):
+    from brookweave.operators.merge import unique_keys
+
+    rows = spark.createDataFrame([(1, "a", "x"), (1, "b", "x"), (None, "a", "y"), (None, "a", "z")], "k int, l string, v string")
+    assert unique_keys(rows, ["k", "l"]).count() == 4 and unique_keys(rows, ["k", "l"]).columns == ["k", "l", "v"]
+    with pytest.raises(Exception, match="more than once"):
+        unique_keys(rows, ["k"]).collect()
+
+
+def test_targets_are_checked_before_a_job_runs():
+    from brookweave.plans import pipeline
+
+    output = lambda target: pipeline.Output("o", input_name="i", target=target)
+    output({"path": "p", "kind": "replace", "params": {"keys": ["k"]}})
+    for target in ({"path": "p", "kind": "none"}, {"path": "p", "kind": "scd2", "params": {"keys": ["k"]}}, {"kind": "replace", "params": {"keys": ["k"]}}):
+        with pytest.raises(ValueError):
+            output(target)
+
+
+def test_found_keys_are_bounded_and_payload_fields_are_settled(spark):
+    from brookweave.operators import reshaping as N
+
+    df = spark.createDataFrame([(1, {"b": "1", "a": "2"}), (2, None)], "id int, m map<string,string>")
+    assert N.maps_to_columns(df, ["m"]).columns == ["id", "a", "b"]
+    with pytest.raises(ValueError):
+        N.maps_to_columns(df, ["m"], most_keys=1)
+    p = spark.createDataFrame([(1, '{"x": {"f": "1"}, "y": {"f": "2"}}'), (2, '{"x": {"f": "1"}}')], "KAFKA_OFFSET int, p string")
+    assert [tuple(r) for r in N.extract_json_payload(p, "p", fields=["f"]).collect()] == [(1, "2")]
+
+
+def test_versions_of_partition_kinds_write_their_partitions_only(spark):
+    import os
+
+    from brookweave.session import scratch
+
+    path = scratch(spark, "parts")
+    t = tables.VersionedTable(spark, path)
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, y int, v string")
+    t.merge(rows((1, 2020, "a"), (2, 2021, "a"), (3, None, "a"), (4, 2022, "a")), "fact_periodic", partition="y")
+    t.merge(rows((5, 2021, "b"), (6, None, "b")), "fact_periodic", partition="y")
+    assert sorted(f for f in os.listdir(f"{path}/v=2") if f.startswith("y=")) == ["y=2021", "y=__HIVE_DEFAULT_PARTITION__"]
+    want = {(1, 2020, "a"), (5, 2021, "b"), (6, None, "b"), (4, 2022, "a")}
+    assert {(r.k, r.y, r.v) for r in t.read().collect()} == want and t.read().columns == ["k", "v", "y"]
+    t.merge(rows((4, 2022, "c"), (7, 2022, "c"), (7, 2022, "c")), "fact_dedup", keys=["k"], partition="y")
+    want = want - {(4, 2022, "a")} | {(4, 2022, "c"), (7, 2022, "c")}
+    assert {(r.k, r.y, r.v) for r in tables.VersionedTable(spark, path).read().collect()} == want and t.read().count() == 5
+    # a version that failed half way left a note and files: the next one replaces them
+    t._noted(4, {"base": 1, "partition": "y", "replaced": ["2020"], "schema": {}, "depth": 9})
+    assert t.versions() == [1, 2, 3]
+    t.vacuum()
+    assert t.versions() == [1, 2, 3]
+    t.CHAIN = 2
+    t.merge(rows((8, 2023, "d")), "fact_periodic", partition="y")
+    want |= {(8, 2023, "d")}
+    assert {(r.k, r.y, r.v) for r in t.read().collect()} == want and t.note(4) is None
+    t.vacuum()
+    assert t.versions() == [4] and {(r.k, r.y, r.v) for r in t.read().collect()} == want
