@@ -20,6 +20,7 @@ from brookweave.llm.text import BLOCK_TAG, INLINE_TAG, drop_comments, fold, repl
 FEATURES = (
     "log_words", "common_share", "block_common", "symbol_share", "digit_share", "cells", "marker", "sentences", "ends_sentence",
     "repetition", "word_length", "vowel_share", "strange_share", "log_block_lines", "log_longest", "block_ends", "capital_share",
+    "log_segment",
 )
 #: Bytes handled at once; a longer text is cut at a line end.
 CHUNK = 1 << 20
@@ -256,6 +257,8 @@ def _chunk(rows: np.ndarray, b: np.ndarray, ends: np.ndarray, common: np.ndarray
     between = prv(c == DIGIT) & nxt(c == DIGIT)
     cells = (c == CELL) | gap | ((c == COMMA) & ~nspace & ~between) | ((c == COLON) & (prv(b) == 34))
     cells |= (c == COLON) & nspace & (nxt(c == DIGIT, 2) | (nxt(b, 2) == ord("-")) | (nxt(b, 2) == ord("+")))
+    # what stands between separators: a few words in an enumeration, a clause in a sentence
+    parted = ((c == COMMA) | (c == END)) & nspace | (b == ord(";")) | ((b == ord("/")) & prv(space) & nspace)
     sizes = summed(shown)
     some = np.maximum(sizes, 1)
     count = np.maximum(words, 1)
@@ -276,7 +279,7 @@ def _chunk(rows: np.ndarray, b: np.ndarray, ends: np.ndarray, common: np.ndarray
             np.minimum(summed((c == END) & (nspace | nxt(c == CLOSE))) / count * 10, 5), ends_sentence,
             np.where(words >= 6, 1 - distinct / count, 0), np.minimum(letters_in_words / count, 25), summed(_VOWELS[b]) / np.maximum(letters, 1),
             np.minimum(summed(c == STRANGE) / some, 1), np.log1p(in_lines), np.log1p(longest), in_block(ends_sentence) / in_lines,
-            summed(c == UPPER) / some,
+            summed(c == UPPER) / some, np.log1p(words / (summed(parted) + 1)),
         ],
         axis=1,
     )
