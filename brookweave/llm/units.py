@@ -20,7 +20,7 @@ from brookweave.llm.text import BLOCK_TAG, INLINE_TAG, drop_comments, fold, repl
 FEATURES = (
     "log_words", "common_share", "block_common", "symbol_share", "digit_share", "cells", "marker", "sentences", "ends_sentence",
     "repetition", "word_length", "vowel_share", "strange_share", "log_block_lines", "log_longest", "block_ends", "capital_share",
-    "log_segment",
+    "log_segment", "joints",
 )
 #: Bytes handled at once; a longer text is cut at a line end.
 CHUNK = 1 << 20
@@ -259,13 +259,17 @@ def _chunk(rows: np.ndarray, b: np.ndarray, ends: np.ndarray, common: np.ndarray
     cells |= (c == COLON) & nspace & (nxt(c == DIGIT, 2) | (nxt(b, 2) == ord("-")) | (nxt(b, 2) == ord("+")))
     # what stands between separators: a few words in an enumeration, a clause in a sentence
     parted = ((c == COMMA) | (c == END)) & nspace | (b == ord(";")) | ((b == ord("/")) & prv(space) & nspace)
+    # signs and capitals inside of words, as machines write them
+    letter = (c == LOWER) | (c == UPPER) | (c == LETTER)
+    joints = ((c == END) | (c == COLON) | (b == ord("_")) | (b == ord("/"))) & prv(letter) & nxt(letter)
+    joints |= (c == LOWER) & nxt(c == UPPER)
     sizes = summed(shown)
     some = np.maximum(sizes, 1)
     count = np.maximum(words, 1)
     telling = np.append(0, np.flatnonzero(_TELLS[c]))
     final = telling[np.searchsorted(telling, stops[tail_line]) - 1]
     ends_sentence = ((c[final] == END) & (final >= starts[head_line])).astype(float)
-    letters = summed((c == LOWER) | (c == UPPER) | (c == LETTER))
+    letters = summed(letter)
     # blocks between blank lines
     blank_before = np.concatenate(([True], (np.diff(held_at[begins]) > 0) & (np.cumsum(~held)[held_at[begins][1:]] > np.cumsum(~held)[tail_line[:-1]])))
     blank_before |= np.concatenate(([True], piece[head_line][1:] != piece[head_line][:-1]))
@@ -280,6 +284,7 @@ def _chunk(rows: np.ndarray, b: np.ndarray, ends: np.ndarray, common: np.ndarray
             np.where(words >= 6, 1 - distinct / count, 0), np.minimum(letters_in_words / count, 25), summed(_VOWELS[b]) / np.maximum(letters, 1),
             np.minimum(summed(c == STRANGE) / some, 1), np.log1p(in_lines), np.log1p(longest), in_block(ends_sentence) / in_lines,
             summed(c == UPPER) / some, np.log1p(words / (summed(parted) + 1)),
+            np.minimum(summed(joints) / count, 2),
         ],
         axis=1,
     )
