@@ -51,16 +51,20 @@ def distinct(df: DataFrame) -> DataFrame:
 def scd2_dedup_by_hash(df: DataFrame, hash_index: str, base_field: str, created_field: str, primary_columns: Sequence[str]) -> DataFrame:
     """Drops rows that repeat the hash of the row before (per key, by ``base_field``); the base field becomes the
     created field. A first row stays; a null hash never repeats."""
-    w = Window.partitionBy(*[col(c) for c in primary_columns]).orderBy(col(base_field), *sortable(df, [c for c in df.columns if c != base_field]))
-    repeat = F.coalesce(F.lag(col(hash_index)).over(w) == col(hash_index), F.lit(False))
-    return df.withColumn("_repeat", repeat).where("not _repeat").drop("_repeat").withColumn(created_field, col(base_field)).drop(base_field)
+    from brookweave.operators.chains import neighbours
+
+    rows = neighbours(df, primary_columns, base_field, before={"_was": col(hash_index)})
+    kept = rows.where(~F.coalesce(F.col("_was") == col(hash_index), F.lit(False))).drop("_was")
+    return kept.withColumn(created_field, col(base_field)).drop(base_field)
 
 
 @operator("scd_type2_fill_record_update_time")
 def scd2_fill_updated_time(df: DataFrame, partition_key: Sequence[str], created_field: str, updated_field: str) -> DataFrame:
     """The next row's created time, or the open end."""
-    w = Window.partitionBy(*[col(c) for c in partition_key]).orderBy(col(created_field))
-    return df.withColumn(updated_field, F.coalesce(F.lead(col(created_field)).over(w), open_time().cast(type_of(df, created_field))))
+    from brookweave.operators.chains import neighbours
+
+    rows = neighbours(df, partition_key, created_field, after={"_then": col(created_field)})
+    return rows.withColumn(updated_field, F.coalesce("_then", open_time().cast(type_of(df, created_field)))).drop("_then")
 
 
 @operator("fill_record_status_1tm")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookweave.columns import col
 from brookweave.functions.dates import OPEN_DATE
+from brookweave.operators.chains import neighbours
 from brookweave.operators.dedupe import top_one
 from brookweave.operators.joins import restrict_to_sources
 
@@ -181,8 +182,8 @@ def scd4_history(target: DataFrame, source: DataFrame, keys: Sequence[str], star
     # a start that is delivered again replaces the row
     rows = old.select(*data, F.lit(0).alias("_new")).unionByName(source.select(*data, F.lit(1).alias("_new")))
     rows = top_one(rows, [*keys, start], [F.col("_new").desc()]).drop("_new")
-    w = Window.partitionBy(*[col(k) for k in keys]).orderBy(col(start))
-    chained = rows.withColumn(end, F.lead(col(start)).over(w)).withColumn("rec_status", F.col(end).isNull().cast("int"))
+    chained = neighbours(rows, keys, start, after={"_then": col(start)})
+    chained = chained.withColumns({end: F.col("_then"), "rec_status": F.col("_then").isNull().cast("int")})
     return chained.select(*target.columns).unionByName(rest.select(*target.columns))
 
 

@@ -461,3 +461,27 @@ def test_versions_of_partition_kinds_write_their_partitions_only(spark):
     assert {(r.k, r.y, r.v) for r in t.read().collect()} == want and t.note(4) is None
     t.vacuum()
     assert t.versions() == [4] and {(r.k, r.y, r.v) for r in t.read().collect()} == want
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "date", "int", "struct"])
+def test_neighbours_of_a_key_against_a_loop(spark, kind):
+    import random
+
+    from brookweave.operators.chains import neighbours
+
+    rng = random.Random(2)
+    t0 = dt.datetime(2024, 1, 1)
+    times = {"timestamp": lambda n: t0 + dt.timedelta(hours=5 * n), "date": lambda n: t0.date() + dt.timedelta(days=n), "int": lambda n: n, "struct": lambda n: (t0 + dt.timedelta(hours=5 * n), n)}
+    n_of = list(range(120))
+    rng.shuffle(n_of)
+    # one key has most rows, one is null; an order is null
+    rows = [(rng.choice(["hot"] * 6 + ["b", None]), times[kind](n), n) for n in n_of] + [("b", None, -1)]
+    sql = {"timestamp": "timestamp", "date": "date", "int": "int", "struct": "struct<t:timestamp,i:int>"}[kind]
+    df = spark.createDataFrame(rows, f"k string, at {sql}, n int")
+    got = {r.n: (r.prev, r.next) for r in neighbours(df, ["k"], "at", after={"next": F.col("n")}, before={"prev": F.col("n")}).collect()}
+    by = {}
+    for k, _, n in sorted(rows, key=lambda r: r[2]):
+        by.setdefault(k, []).append(n)
+    want = {n: (ns[i - 1] if i else None, ns[i + 1] if i + 1 < len(ns) else None) for ns in by.values() for i, n in enumerate(ns)}
+    assert got == want
+    assert neighbours(df.where("false"), ["k"], "at", after={"next": F.col("n")}).count() == 0
