@@ -22,6 +22,8 @@ from brookweave.llm.units import FEATURES, common_hashes, unit_statistics
 from brookweave.session import persist_table, spread
 
 CLASSES = ("prose", "list", "table", "junk")
+#: Units scored at once.
+ROWS = 8192
 #: Statistics on whose grid units are counted for the fit, with the edges: at most 186,624 cells, each with its exact
 #: first and second moments of all statistics.
 GRID = {
@@ -49,18 +51,27 @@ class Mixture:
         self.set_covariances(covariances)
 
     def set_covariances(self, covariances: np.ndarray) -> None:
-        self.roots = np.linalg.inv(np.linalg.cholesky(covariances)).transpose(0, 2, 1)
-        self.log_dets = np.log(np.abs(np.diagonal(self.roots, axis1=1, axis2=2))).sum(1)
-
-    def log_densities(self, z: np.ndarray, scatter: np.ndarray | None = None) -> np.ndarray:
+        """Takes weights and means as they are. All log densities are one product: of the second powers, the statistics and 1
+        with a table of one column per component."""
+        d = self.means.shape[1]
+        i, j = np.triu_indices(d)
+        precision = np.linalg.inv(covariances)
+        precision = (precision + precision.transpose(0, 2, 1)) / 2
+        self.log_dets = -0.5 * np.linalg.slogdet(covariances)[1]
+        straight = np.einsum("kij,kj->ki", precision, self.means)
+        constant = np.log(self.weights + 1e-300) + self.log_dets - 0.5 * (straight * self.means).sum(1)
+        self.table = np.concatenate((-precision[:, i, j] * np.where(i == j, 0.5, 1.0), straight, constant[:, None]), axis=1).T
+        self.diagonals = -0.5 * np.diagonal(precision, axis1=1, axis2=2).T
+
+    @staticmethod
+    def powers(z: np.ndarray) -> np.ndarray:
+        i, j = np.triu_indices(z.shape[1])
+        return np.concatenate((z[:, i] * z[:, j], z, np.ones((len(z), 1))), axis=1)
+
+    def log_densities(self, z: np.ndarray, scatter: np.ndarray | None = None, powers: np.ndarray | None = None) -> np.ndarray:
         """Weighted log density of every component; with the ``scatter`` (variances) of cells, its mean over the cell."""
-        out = np.empty((len(z), len(self.weights)))
-        for k, root in enumerate(self.roots):
-            square = (((z - self.means[k]) @ root) ** 2).sum(1)
-            if scatter is not None:
-                square = square + scatter @ (root**2).sum(1)
-            out[:, k] = np.log(self.weights[k] + 1e-300) + self.log_dets[k] - 0.5 * square
-        return out
+        log = (self.powers(z) if powers is None else powers) @ self.table
+        return log if scatter is None else log + scatter @ self.diagonals
 
     def responsibilities(self, z: np.ndarray, scatter: np.ndarray | None = None) -> np.ndarray:
         log = self.log_densities(z, scatter)
@@ -70,8 +81,9 @@ class Mixture:
 
     def class_shares(self, stats: np.ndarray) -> np.ndarray:
         """Probability of every class for every row of statistics."""
-        p = self.responsibilities((stats - self.centre) / self.scale)
-        return p @ np.eye(len(CLASSES))[self.classes]
+        named = np.eye(len(CLASSES))[self.classes]
+        parts = [stats[at : at + ROWS] for at in range(0, len(stats), ROWS)]
+        return np.concatenate([self.responsibilities((x - self.centre) / self.scale) @ named for x in parts] or [np.zeros((0, len(CLASSES)))])
 
 
 def fit_mixture(
@@ -133,9 +145,11 @@ def _maximize(
     total, (k, d) = counts.sum(), means.shape
     model = Mixture(np.zeros(d), np.ones(d), weights, means, covariances)
     prior = max(2.0, total / 20_000)  # pseudo units per component, so that none shrinks to a point
+    powers = Mixture.powers(z)
+    i, j = np.triu_indices(d)
     score = last = -np.inf
     for _ in range(rounds):
-        log = model.log_densities(z, scatter)
+        log = model.log_densities(z, scatter, powers)
         top = log.max(1, keepdims=True)
         p = np.exp(log - top)
         score = float((counts * (top[:, 0] + np.log(p.sum(1)))).sum() / total)
@@ -143,12 +157,14 @@ def _maximize(
             break
         last = score
         r = p / p.sum(1, keepdims=True) * counts[:, None]
-        mass = r.sum(0) + 1e-9
-        model.weights, model.means = mass / mass.sum(), (r.T @ z) / mass[:, None]
-        covariances = np.empty((k, d, d))
-        for j in range(k):
-            c = z - model.means[j]
-            covariances[j] = ((c * r[:, j : j + 1]).T @ c + np.diag(r[:, j] @ scatter) + prior * 0.2 * np.eye(d)) / (mass[j] + prior) + floor * np.eye(d)
+        moments = r.T @ powers
+        mass = moments[:, -1] + 1e-9
+        model.weights, model.means = mass / mass.sum(), moments[:, -1 - d : -1] / mass[:, None]
+        square = np.empty((k, d, d))
+        square[:, i, j] = square[:, j, i] = moments[:, : len(i)]
+        square -= mass[:, None, None] * model.means[:, :, None] * model.means[:, None, :]
+        square[:, range(d), range(d)] += r.T @ scatter
+        covariances = (square + prior * 0.2 * np.eye(d)) / (mass + prior)[:, None, None] + floor * np.eye(d)
         model.set_covariances(covariances)
     return score, model.weights, model.means, covariances
 
