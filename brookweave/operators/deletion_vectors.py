@@ -24,7 +24,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from brookweave.session import persist_table
 
@@ -148,23 +148,24 @@ class VectorTable:
     # writing
 
     def locate(self, images: DataFrame) -> DataFrame:
-        """Where the live images of the keys of ``images`` are: ``file, row``. Of a key the latest version counts. Only the
+        """Where the live images of the keys of ``images`` are: ``_in_file, _in_row``. Of a key the latest version counts. Only the
         index of the keys' buckets is read."""
         buckets = [r[0] for r in images.select(self._bucket_key()).distinct().collect()]  # at most ``index_buckets``
-        held = None
+        held, held_keys = None, [f"k{i}" for i in range(len(self.keys))]
         for v, folder in enumerate(self._folders("index")):
             part = self.spark.read.schema(self._index_schema()).parquet(folder).where(F.col("b").isin(buckets))
-            part = part.select(*self.keys, "b", F.struct(F.lit(v).alias("v"), "file", "row").alias("_place"))
+            part = part.select(*held_keys, "b", F.struct(F.lit(v).alias("v"), "file", "row").alias("_place"))
             held = part if held is None else held.unionByName(part)
-        wanted = images.select(self._bucket_key().alias("_wb"), *[F.col(k).alias(f"_w_{k}") for k in self.keys])
+        wanted = images.select(self._bucket_key().alias("_wb"), *[F.col(k).alias(f"_w{i}") for i, k in enumerate(self.keys)])
         on = F.col("_wb") == F.col("b")
-        for k in self.keys:
-            on = on & F.col(k).eqNullSafe(F.col(f"_w_{k}"))
-        places = held.join(wanted, on, "left_semi").groupBy(*self.keys).agg(F.max("_place").alias("_place"))
-        return places.select("_place.file", "_place.row")
+        for i, k in enumerate(held_keys):
+            on = on & F.col(k).eqNullSafe(F.col(f"_w{i}"))
+        places = held.join(wanted, on, "left_semi").groupBy(*held_keys).agg(F.max("_place").alias("_place"))
+        return places.select(F.col("_place.file").alias("_in_file"), F.col("_place.row").alias("_in_row"))
 
     def _index_schema(self) -> StructType:
-        keys = StructType([f for f in self.schema.fields if f.name in self.keys])
+        # keys by number: they may be named like the index's own columns
+        keys = StructType([StructField(f"k{i}", self.schema[k].dataType) for i, k in enumerate(self.keys)])
         return keys.add("file", "string").add("row", "long").add("b", "integer")
 
     def _write(self, images: DataFrame) -> str:
@@ -173,7 +174,7 @@ class VectorTable:
         images.write.parquet(f"{self.path}/data/{part}")
         written = self.spark.read.schema(images.schema).parquet(f"{self.path}/data/{part}")
         written.select(
-            self._bucket_key().alias("b"), *self.keys,
+            self._bucket_key().alias("b"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(self.keys)],
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
         ).repartition("b").write.partitionBy("b").parquet(f"{self.path}/index/{part}")
         return part
@@ -185,14 +186,15 @@ class VectorTable:
             return
         images = persist_table(images.select(*self.schema.names), "batch")
         located = persist_table(self.locate(images), "located")
-        files = [r.file for r in located.select("file").distinct().collect()]  # names of files, not rows
+        files = [r["_in_file"] for r in located.select("_in_file").distinct().collect()]  # names of files, not rows
         merged = images
         if files:
-            theirs = self._images(files).join(located, (F.col("_file") == F.col("file")) & (F.col("_at") == F.col("row")), "left_semi")
+            theirs = self._images(files).join(located, (F.col("_file") == F.col("_in_file")) & (F.col("_at") == F.col("_in_row")), "left_semi")
             parts = [c for c in self.schema.names if c not in self.keys]
             merged = images.unionByName(theirs.drop("_file", "_at")).groupBy(*self.keys).agg(*[F.max(c).alias(c) for c in parts])
         part = self._write(merged.select(*self.schema.names))
-        fresh = located.groupBy("file", F.expr(f"row div {BITS}").alias("bucket")).agg(F.expr(f"bitmap_construct_agg(row % {BITS})").alias("bitmap"))
+        fresh = located.groupBy(F.col("_in_file").alias("file"), F.expr(f"_in_row div {BITS}").alias("bucket"))
+        fresh = fresh.agg(F.expr(f"bitmap_construct_agg(_in_row % {BITS})").alias("bitmap"))
         fresh.write.parquet(f"{self.path}/dv/{part}")
         self._commit(self.version + 1, [*self.parts, part], self.schema)
 

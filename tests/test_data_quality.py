@@ -389,13 +389,21 @@ def test_a_vector_table_is_found_again_by_another_process(spark):
     assert DV.VectorTable(spark, path).read().count() == 121
 
 
+def test_keys_named_like_the_index(spark):
+    table = DV.VectorTable(spark, scratch(spark, "dv"), ["file", "row", "b"])
+    rows = lambda v: spark.createDataFrame([("x", 1, None, v, "d"), ("y", 2, 3, v, "d")], "file string, row int, b int, v int, bucket string")
+    table.apply(rows(1))
+    table.apply(rows(2).where("row = 1"))
+    assert {(r.file, r.row, r.b, r.v) for r in DV.VectorTable(spark, table.path).read().collect()} == {("x", 1, None, 2), ("y", 2, 3, 1)}
+
+
 def test_a_small_batch_reads_only_the_files_it_supersedes(spark):
     path = scratch(spark, "dv")
     table = DV.VectorTable(spark, path, ["k"])
     table.apply(spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v")).repartitionByRange(10, "k"))
     batch = spark.createDataFrame([(3, 2), (5, 2)], "k bigint, v int")
     places = table.locate(batch)
-    assert len({r.file for r in places.collect()}) == 1
+    assert len({r["_in_file"] for r in places.collect()}) == 1
     scans = places._jdf.queryExecution().toString()
     assert "PartitionFilters: [b" in scans.replace("isnotnull(b", "b") or "b#" in scans.split("PartitionFilters: [")[1].split("]")[0]
 
