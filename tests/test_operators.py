@@ -3,7 +3,9 @@
 import datetime as dt
 import json
 import uuid
+from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -341,6 +343,42 @@ def test_masked_columns_of_numbers(spark):
     assert sorted(unmask_pii(masked, ["i", "l"], key="k").collect()) == sorted(df.collect())
 
 
+def test_numbers_masked_by_the_batch_are_those_masked_one_by_one(monkeypatch):
+    values = [0, 1, -1, 9, -9, 10, 99, 12345678, 2000000000, 2**31 - 1, -(2**31), 10**12, 10**13 - 1, -(10**17), 10**18 - 1, 10**18, 2**63 - 1, -(2**63)]
+    for top in (2**31 - 1, 2**63 - 1):
+        held = [v for v in values if -top - 1 <= v <= top]
+        for back in (False, True):
+            for key in (b"k", b"long" * 20):
+                assert masking.mask_numbers(key, np.array(held), top, back).tolist() == [masking.mask_number(key, v, top, back) for v in held]
+    # numbers near the end of int are permuted nine times on the average: the shifts of the halves are made once
+    made = []
+    monkeypatch.setattr(masking, "_prfs", lambda key, tag, halves, m, f=masking._prfs: made.append(len(halves)) or f(key, tag, halves, m))
+    numbers = np.arange(2_000_000_000, 2_000_040_000)
+    for _ in range(2):
+        assert (masking.mask_numbers(b"new", masking.mask_numbers(b"new", numbers, 2**31 - 1), 2**31 - 1, back=True) == numbers).all()
+    assert sum(made) <= 10 * 10**5
+
+
+def test_masked_decimals_of_any_precision(spark):
+    """Beside the plain function, null, least and longest values too, with ANSI mode on and off."""
+    kinds = {"a": (12, 3), "b": (18, 18), "c": (18, 0), "d": (21, 6), "e": (38, 10), "f": (38, 38)}
+    texts = {n: [None, "0", f"{'0.' if s else ''}{'0' * max(s - 1, 0)}1", "-" + "9" * (p - s) + ("." + "9" * s if s else ""), "-" + ("." if s else "") + "5" * (s or 1)] for n, (p, s) in kinds.items()}
+    df = spark.createDataFrame([(k, *[texts[n][k] for n in kinds]) for k in range(5)], "k int, " + ", ".join(f"{n} string" for n in kinds))
+    df = df.withColumns({n: F.col(n).cast(f"decimal({p},{s})") for n, (p, s) in kinds.items()})
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            m = masking.mask_pii(df, list(kinds), key=KEY)
+            plain, masked, back = (
+                [{n: v if v is None else f"{Decimal(v):f}" for n, v in r.asDict().items()} for r in x.orderBy("k").select([F.col(n).cast("string").alias(n) for n in kinds]).collect()]
+                for x in (df, m, masking.unmask_pii(m, list(kinds), key=KEY))
+            )
+            assert m.dtypes == df.dtypes and back == plain
+            assert masked == [{n: v if v is None else masking.mask_decimal(KEY, v, kinds[n][1]) for n, v in r.items()} for r in plain]
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_kept_parts_and_words():
     from brookweave.operators.masking import keep_first, keep_last, mask_words
 
