@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from brookweave.operators import deletion_vectors as DV
 from brookweave.operators import flatten, history, orphans, profile, snapshots
 from brookweave.functions.scalars import as_number_text, blank_to_null
+from brookweave.plans import data_quality
 from brookweave.session import scratch
 
 D = [dt.date(2023, m, 1) for m in (1, 2, 3, 4)]
@@ -113,6 +114,25 @@ def test_models_are_the_same_in_one_task_and_in_many(spark):
     assert np.abs(hot @ (done.weights[s][0, load] - beta)).max() < 0.1
 
 
+def test_the_classifier_runs_only_for_its_own_figures(spark, sf, monkeypatch):
+    """No issue depends on it: where only issues are asked for nothing is trained, and where it is asked for it decides."""
+    df = loads(spark, CHANGES)
+    with_test = issues(df)
+    areas = lambda high: lambda d, *_: d.sparkSession.createDataFrame(
+        [(r[0], c.name, 0.5 + high, 0.5, 0.5 + high) for r in d.select(profile._load_id(F.col("ds_time_id"), F.col("ds_source"))).distinct().collect() for c in data_quality.JOB_COLUMNS],
+        "_load bigint, col_name string, area double, area_without double, area_alone double",
+    )
+    everything = data_quality.p1_profile(spark, sf).where("n_rows > 100").count()
+    monkeypatch.setattr(profile, "discrimination", areas(0.0))
+    assert data_quality.p1_pointed(spark, sf).count() == 0
+    monkeypatch.setattr(profile, "discrimination", areas(0.5))
+    assert data_quality.p1_pointed(spark, sf).count() >= everything > 0
+    monkeypatch.setattr(profile, "discrimination", lambda *_: pytest.fail("trained for nothing"))
+    assert data_quality.p1_found(spark, sf).count() > 0 and data_quality.p1_profile(spark, sf).count() > 0
+    plain = profile.quality_profile(df, period="day", source="src", columns=COLUMNS)
+    assert {(r.day, r.col_name, r.issue) for r in profile.quality_issues(plain, "day", "src").collect()} == with_test
+
+
 def test_shift_of_a_load_with_nearly_all_rows(spark):
     """97 % of the rows of a source are one load's: it is no peer of its own."""
     rows = [(k, 1, "A", 1000.0 + k % 7, "VND", 1) for k in range(20_000)]
